@@ -79,9 +79,9 @@ def usual_tails(ended: DataFrame, *, least_texts: int = 3, least_share: float =
     """
     tails = ended.filter("not open").groupBy("tail_id", "stop", "sample").agg(F.lit(1).alias("one"))
     counts = tails.groupBy("tail_id").agg(F.count_if(~F.col("stop")).alias("bare"), F.count_if(F.col("stop")).alias("stopped"))
-    total = F.broadcast(tails.agg(F.count_if(~F.col("stop")).alias("total")))
-    counts = counts.filter("bare > 0").join(total)
-    habit = (F.col("bare") >= least_texts) & (F.col("bare") >= least_share * F.col("total"))
+    total = tails.agg(F.count_if(~F.col("stop")).alias("total")).first()["total"]
+    counts = counts.filter("bare > 0")
+    habit = (F.col("bare") >= least_texts) & (F.col("bare") >= least_share * total)
     return counts.select("tail_id", habit.alias("habit"), (F.col("stopped") > 0).alias("elsewhere")).filter("habit or elsewhere")
 
 

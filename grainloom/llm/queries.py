@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grainloom.llm import canonical, contamination, repetition, spans, truncation
+from grainloom.llm import canonical, contamination, markup, mixing, pairs, repetition, spans, survivor, truncation
 from grainloom.session import table
 
 
@@ -24,6 +24,11 @@ def p1_field_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return truncation.cut_contents(table(spark, sf_dir, "chat_records"))[1]
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    broken = pairs.broken_pairs(table(spark, sf_dir, "cot_pairs"), table(spark, sf_dir, "documents"))
+    return broken.withColumnRenamed("row_id", "cot_id")
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = canonical.formatting_duplicates(table(spark, sf_dir, "chat_records"))
     return groups.filter("row_id <> keep_id").select("keep_id", F.col("row_id").alias("copy_id"))
@@ -50,6 +55,34 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cases.select("tab", "row_id").distinct()
 
 
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return survivor.surviving_rows(table(spark, sf_dir, "merge_rows"), table(spark, sf_dir, "source_catalog")).select("index", "field", "row_id")
+
+
+def p6_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return survivor.survivors(table(spark, sf_dir, "merge_rows"), table(spark, sf_dir, "source_catalog"))
+
+
+def marked_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chat = table(spark, sf_dir, "chat_records").select(F.lit("chat_records").alias("tab"), F.col("rec_id").alias("row_id"), F.col("source").alias("host"), F.posexplode("messages").alias("part", "m"))
+    chat = chat.select("tab", "row_id", "part", "host", F.col("m.content").alias("text"))
+    pages = table(spark, sf_dir, "scrape_pages").select(F.lit("scrape_pages").alias("tab"), F.col("page_id").alias("row_id"), F.regexp_extract("url", "//([^/]*)", 1).alias("host"), F.posexplode("solutions").alias("part", "text"))
+    return chat.unionByName(pages)
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kinds, _ = markup.markup_kinds(marked_texts(spark, sf_dir), keys=("tab", "row_id", "part"))
+    return kinds.select("tab", "row_id", F.explode("kinds").alias("kind")).distinct()
+
+
+def p7_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return markup.markup_kinds(marked_texts(spark, sf_dir), keys=("tab", "row_id", "part"))[1]
+
+
+def p7_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return markup.clean_texts(marked_texts(spark, sf_dir), keys=("tab", "row_id", "part"))
+
+
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
 
@@ -59,6 +92,14 @@ def p8_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.groupBy("doc_id").agg(F.sort_array(F.collect_set("item_id")).alias("items"), F.count_distinct("item_id").alias("n_items"))
 
 
+def p9_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_sources(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))
+
+
+def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.reached_shares(p9_mixture(spark, sf_dir), table(spark, sf_dir, "mix_targets"))
+
+
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.sharing_pairs(table(spark, sf_dir, "documents"))
 
@@ -98,8 +139,18 @@ pd as (select doc_id, ws[k:k+11] g from (select *, unnest(range(1, len(ws) - 10)
 select distinct item_id, doc_id from pd join pi using (g)"""
 
 
+_HOLES = "'', " + ", ".join(f"'{p}'" for p in survivor.PLACEHOLDERS)
+_P6 = rf"""with r as (select m.*, trim(list_filter(messages, lambda x: x.role = 'assistant')[1].content, ' ' || chr(9) || chr(10) || chr(13) || chr(160)) sol, trim(final_answer) ans, trim(url) u, coalesce(c.trust_rank, 2147483647) trust
+from merge_rows m left join source_catalog c using (source) where index in (select index from merge_rows where index is not null group by 1 having count(*) > 1)),
+x as (select index, 'solution' field, row_id, row_number() over (partition by index order by length(sol) desc, row_id) n from r where lower(sol) not in ({_HOLES})
+union all select index, 'final_answer', row_id, row_number() over (partition by index order by trust, row_id) from r where lower(ans) not in ({_HOLES})
+union all select index, 'url', row_id, row_number() over (partition by index order by updated_at desc, row_id) from r where lower(u) not in ({_HOLES}))
+select index, field, row_id from x where n = 1"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "p6_found": _P6,
         "p4_found": _P4 + "select keep_id, rec_id copy_id from g where rec_id <> keep_id",
         "p4_collapsed": _P4 + "select rec_id, n_copies from g where rec_id = keep_id",
         "p5_found": _P5,
