@@ -129,7 +129,7 @@ def page_texts(pages: DataFrame, column: str = "html") -> DataFrame:
 
 def thread_pair(posts: Column) -> Column:
     """Problem (the first post) and the posts that look like solutions; null if either is missing."""
-    solution = F.filter(F.slice(posts, 2, 2**31 - 1), lambda p: (F.length(p) > 100) & (F.contains(p, F.lit("$")) | F.lower(p).rlike("proof|solution")))
+    solution = F.filter(F.slice(posts, F.lit(2), F.greatest(F.size(posts), F.lit(0))), lambda p: (F.length(p) > 100) & (F.contains(p, F.lit("$")) | F.lower(p).rlike("proof|solution")))
     return F.when((F.get(posts, F.lit(0)) != "") & (F.size(solution) > 0), F.struct(F.get(posts, F.lit(0)).alias("problem"), solution.alias("solutions")))
 
 

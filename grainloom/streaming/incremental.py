@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StringType, StructField, StructType
 
 from grainloom.functions.text import answer_budget
 from grainloom.operators.messages import chatml_training, completion
@@ -21,7 +22,7 @@ def remaining(rows: DataFrame, done: DataFrame, key: str = "index") -> DataFrame
 
 def call_model(rows: DataFrame, client: Callable[[str, int], str], *, prompt: str = "prompt", budget: str = "budget", attempts: int = 3, backoff: float = 10.0, sleep: Callable[[float], None] = time.sleep) -> DataFrame:
     """Adds ``response`` (null after the last failed attempt). The client gets the prompt and a token budget."""
-    schema = rows.schema.add("response", "string")
+    schema = StructType([*rows.schema.fields, StructField("response", StringType())])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
