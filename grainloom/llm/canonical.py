@@ -22,7 +22,7 @@ def canonical_text(text: Column) -> Column:
     """The text without case, white space and MARKS; a point or comma between two digits stays."""
     points = F.regexp_replace(text, r"[.,](?:(?<!\p{Nd}[.,])|(?!\p{Nd}))", "")
     others = "".join(m for m in MARKS if m not in ".,")
-    return F.translate(F.lower(F.upper(points)), "ς" + SPACES + others, "σ")
+    return F.replace(F.translate(F.lower(F.upper(points)), "ς" + SPACES + others, "σ"), F.lit("ß"), F.lit("ss"))
 
 
 def canonical_json(text: Column) -> Column:

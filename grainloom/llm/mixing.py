@@ -106,6 +106,8 @@ def mix_sources(
     """
     wanted = {r["source"]: (float(r["target_share"]), int(r["max_repeats"])) for r in targets.filter("source is not null and target_share > 0").collect()}
     domains = sorted(wanted)
+    if not domains:
+        return documents.sparkSession.createDataFrame([], "doc_id bigint, source string, tokens bigint, rate double, repeats int")
     share, cap = (np.array([wanted[d][i] for d in domains], dtype=float) for i in (0, 1))
     docs = checkpoint(measured(documents, domains, train_domains(documents, domains, per_domain=per_domain), tokenizer))
     # documents of one posterior have one rate: labelled ones fall together, source by source
