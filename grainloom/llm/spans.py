@@ -175,7 +175,7 @@ def shared_spans(documents: DataFrame, *, doc_id: str = "doc_id", text: str = "t
                     yield pa.RecordBatch.from_arrays([pa.array([cls] * len(names), pa.binary()), pa.array(names.view(np.int64)), pa.array(starts.astype(np.int32))], ["cls", "sym", "pos"])
 
     long_enough = content.filter(F.length("t") >= min_chars).select("cls", "t")
-    found = checkpoint(long_enough.mapInArrow(name, "cls binary, sym bigint, pos int").distinct())
+    found = checkpoint(long_enough.mapInArrow(name, "cls binary, sym bigint, pos int"))
 
     def met(marks: DataFrame) -> DataFrame:
         """Marks whose name stands in two or more different texts, with the number of marks of the name."""
@@ -188,10 +188,12 @@ def shared_spans(documents: DataFrame, *, doc_id: str = "doc_id", text: str = "t
         pairs = a.join(b, "sym").filter("cls_a < cls_b")
         return pairs.groupBy("cls_a", "cls_b", (F.col("pos_a") - F.col("pos_b")).alias("diagonal")).agg(F.collect_set("pos_a").alias("places"))
 
-    marks = checkpoint(met(found))
+    # copies of one text bring the same anchors; they fall together here, where few anchors are left
+    marks = checkpoint(met(found).distinct())
     crowded = marks.filter(F.col("n") > hot).groupBy("cls").agg(F.collect_set("pos").alias("places"))
-    one_text = long_enough.groupBy("cls").agg(F.first("t").alias("t"))
-    exact = met(one_text.join(crowded, "cls").select("cls", "t", "places").mapInArrow(windows, "cls binary, sym bigint, pos int").distinct()).select("sym", "cls", "pos")
+    # only texts that met another one are moved, and once
+    texts = long_enough.join(marks.select("cls").distinct(), "cls", "left_semi").groupBy("cls").agg(F.first("t").alias("t"))
+    exact = met(texts.join(crowded, "cls").select("cls", "t", "places").mapInArrow(windows, "cls binary, sym bigint, pos int").distinct()).select("sym", "cls", "pos")
     pairs = meet(marks.filter(F.col("n") <= hot).select("sym", "cls", "pos")).unionByName(meet(exact))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,8 +211,6 @@ def shared_spans(documents: DataFrame, *, doc_id: str = "doc_id", text: str = "t
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), (pa.binary(), pa.binary(), pa.int32(), pa.int32(), pa.int32()))], ["cls_a", "cls_b", "start_a", "start_b", "n_chars"])
 
-    used = marks.select("cls").distinct()
-    texts = one_text.join(used, "cls", "left_semi")
     both = pairs.join(texts.select(F.col("cls").alias("cls_a"), F.col("t").alias("text_a")), "cls_a").join(texts.select(F.col("cls").alias("cls_b"), F.col("t").alias("text_b")), "cls_b")
     links = both.select("cls_a", "cls_b", "diagonal", "places", "text_a", "text_b").mapInArrow(verify, "cls_a binary, cls_b binary, start_a int, start_b int, n_chars int")
     return members, links.distinct()
