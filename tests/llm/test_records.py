@@ -100,7 +100,7 @@ TEXTS = {
     7: ('x\n{| class="wikitable"\n! case !! value\n|-\n| 1 || 9\n|}\ny', {"wiki"}), 8: ("{{problem box|year=1997}}\nIt holds.", {"wiki"}), 9: ("\\section*{Proof 2}\n\\begin{enumerate}\n\\item One\n\\end{enumerate}", {"latex"}),
     10: ("It is \\textbf{odd}.\\label{st:1} \\footnote{See 2.}", {"latex"}), 11: ("<b>x</b> and **y**", {"html", "markdown"}), 20: ("We get 3 * 615 < $\\binom{b}{3}$ and $z$ > 2 * 8623.", set()), 21: ("the matrix [[66,1],[0,23]] has x_1, x_2 and y_1 * y_2 in #4036", set()),
     22: ("The sets {{1},{2,3}} and {{4}} come from rule #601.", set()), 23: ("\\begin{align*}\na &= 611 \\\\\nb &= 45\n\\end{align*}", set()), 24: ("$k<690<m+3$ and \\frac{1}{2 are cut: $\\text{", set()), 25: ("", set()), 26: (None, set()), 27: ("As they say, \"count twice\"; it's 5 - 3 - 1 and a < b > c & d", set()),
-    28: ("1. only one numbered line", set()), 29: ("for k<5 we have <k> and <m+1>", set()),
+    30: ("x\n[(a) b](https://x.example/t)\n| a |\n|---|\n| b (c) |", {"markdown"}), 31: ("{| (x)\n|- (y)\n|}", {"wiki"}), 28: ("1. only one numbered line", set()), 29: ("for k<5 we have <k> and <m+1>", set()),
 }
 
 
