@@ -43,12 +43,12 @@ def collapse(keyed: DataFrame, *, key: str = "key", row_id: str = "row_id", hot_
     A key is hot from ``hot_least`` rows on, and only if it holds ``hot_share`` of all rows: there are at
     most ``1 / hot_share`` hot keys, which bounds what is broadcast. A repeated row_id counts as one row.
     """
-    rows = keyed.select(F.col(key).alias("key"), F.col(row_id).alias("row_id")).filter("key is not null")
+    rows = checkpoint(keyed.select(F.col(key).alias("key"), F.col(row_id).alias("row_id")).filter("key is not null"))  # keys are small, and dear to compute
     total = rows.count()
     limit = max(hot_least, int(total * hot_share))
     if total > limit:
         hot = rows.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") >= limit).select("key")
-        hot = F.broadcast(checkpoint(hot))
+        hot = F.broadcast(hot)
         hot_rows = rows.join(hot, "key", "left_semi")
         salted = hot_rows.withColumn("salt", F.pmod(F.xxhash64("row_id"), F.lit(salts)))
         first = salted.groupBy("key", "salt").agg(F.min("row_id").alias("keep_id"), F.count_distinct("row_id").alias("n_copies"))
