@@ -33,11 +33,11 @@ PLACEHOLDERS = ("none", "null", "nil", "nan", "n/a", "na", "tbd", "todo", "unkno
 REFUSALS = (
     "i can't help with this", "i cannot help with this", "i can't assist with this", "i cannot assist with", "i must decline to answer", "i have to decline", "i am not able to provide a solution",
     "i'm not able to provide", "i won't be able to work through this", "something i am unable to solve for you", "i am unable to solve", "i'm unable to help", "i cannot provide an answer", "i can't answer this", "i cannot answer this",
-    "answering this falls outside what i can do",
-    "no puedo ayudar con este problema", "debo rechazar esta pregunta", "no me es posible dar una solución", "no puedo responder a esta pregunta", "no estoy en condiciones de resolver",
-    "ich kann bei dieser aufgabe nicht helfen", "eine lösung kann ich hierzu nicht geben", "ich darf diese frage nicht beantworten", "ich muss diese frage ablehnen", "ich kann diese frage nicht beantworten",
-    "je ne peux pas aider pour ce problème", "je dois refuser cette question", "je dois refuser de répondre", "je ne peux pas répondre à cette question", "il ne m'est pas possible de donner une solution", "je ne suis pas en mesure de donner une solution",
-    "я не могу помочь с этой задачей", "придётся отказаться от ответа", "я не имею возможности дать решение", "я не могу ответить на этот вопрос", "вынужден отказаться",
+    "answering this falls outside what i can do", "this is beyond what i can do", "it is impossible for me to give a solution", "i am not allowed to answer", "i refuse to answer",
+    "no puedo ayudar con este problema", "debo rechazar esta pregunta", "no me es posible dar una solución", "no puedo responder a esta pregunta", "no estoy en condiciones de resolver", "me es imposible dar una solución", "no puedo resolver este problema", "no puedo dar una respuesta", "esto queda fuera de lo que puedo hacer",
+    "ich kann bei dieser aufgabe nicht helfen", "eine lösung kann ich hierzu nicht geben", "ich darf diese frage nicht beantworten", "ich muss diese frage ablehnen", "ich kann diese frage nicht beantworten", "es ist mir nicht möglich eine lösung zu geben", "ich bin nicht in der lage", "ich kann diese aufgabe nicht lösen", "das übersteigt meine möglichkeiten",
+    "je ne peux pas aider pour ce problème", "je dois refuser cette question", "je dois refuser de répondre", "je ne peux pas répondre à cette question", "il ne m'est pas possible de donner une solution", "je ne suis pas en mesure de donner une solution", "il m'est impossible de donner une solution", "je ne peux pas résoudre ce problème", "je dois décliner cette question", "cela dépasse ce que je peux faire",
+    "я не могу помочь с этой задачей", "придётся отказаться от ответа", "я не имею возможности дать решение", "я не могу ответить на этот вопрос", "вынужден отказаться", "я не в состоянии решить", "мне невозможно дать решение", "я не могу решить эту задачу", "это выходит за рамки того что я могу",
 )
 
 _WORD = re.compile(r"\w+")
@@ -94,7 +94,7 @@ def is_refusal(question: list[str], answer: str, *, share: float = 0.9, other_wo
     words = _WORD.findall(answer.casefold().replace("’", "'"))
     if question and common(question, words[: len(question) + 5]) >= 0.9 * len(question):
         words = words[len(question) :]
-    if len(words) > other_words or "$" in answer[len(answer) * 2 // 3 :]:
+    if len(words) > other_words or "$" in answer[-45:]:
         return False
     for template in _TEMPLATES:
         seen = len(set(template) & set(words))
