@@ -89,7 +89,7 @@ def is_copy(question: list[str], answer: list[str], *, n: int = 5, containment:
 _TEMPLATES = [_WORD.findall(t) for t in REFUSALS]
 
 
-def is_refusal(question: list[str], answer: str, *, share: float = 0.9, other_words: int = 40) -> bool:
+def is_refusal(question: list[str], answer: str, *, share: float = 0.9, other_words: int = 60) -> bool:
     """A template aligns with the answer, which has no more than so many other words besides the question."""
     words = _WORD.findall(answer.casefold().replace("’", "'"))
     if question and common(question, words[: len(question) + 5]) >= 0.9 * len(question):
