@@ -120,3 +120,31 @@ def completion_labels(ids: Column, run: list[int]) -> Column:
 def pad(ids: Column, value: int, multiple: int = 8) -> Column:
     """The array filled up to a multiple of ``multiple``."""
     return F.concat(ids, F.array_repeat(F.lit(value), F.pmod(-F.size(ids), F.lit(multiple)).cast("int")))
+
+
+def first_filled(*columns: Column) -> Column:
+    """The first value that is neither null nor empty, else the last one."""
+    return F.coalesce(*[F.nullif(c, F.lit("")) for c in columns[:-1]], columns[-1])
+
+
+def level_number(level: Column) -> Column:
+    """``Level 5`` as ``5``."""
+    return strip(F.replace(level, F.lit("Level "), F.lit("")))
+
+
+def subject_key(subject: Column) -> Column:
+    return F.replace(F.lower(subject), F.lit(" "), F.lit("_"))
+
+
+def hard_problem(level: Column, subject: Column) -> Column:
+    """Level 4 or 5 and not precalculus."""
+    return level_number(level).isin("4", "5") & (subject_key(subject) != "precalculus")
+
+
+def trainable_tokens(labels: Column) -> Column:
+    return F.size(F.filter(labels, lambda x: x != -100))
+
+
+def checked_labels(labels: Column) -> Column:
+    """The labels; the query fails on a row without a token to train on."""
+    return F.when(trainable_tokens(labels) > 0, labels).otherwise(F.raise_error(F.lit("no trainable token: the template was not found")).cast("array<int>"))

@@ -68,5 +68,52 @@ def page_links(pages: DataFrame, *, suffixes: tuple[str, ...] = (".tex",), disti
 
 def looks_like_tex(content):
     """Download gate: more than 300 bytes and a mark of TeX among the first 200."""
-    start = F.decode(F.substring(content, 1, 200), F.lit("ISO-8859-1"))
+    start = F.decode(F.substring(content, 1, 200), "ISO-8859-1")
     return (F.octet_length(content) > 300) & start.rlike(r"\\documentclass|\\begin|Evan Chen|%")
+
+
+#: Fixed value: what a wiki says on a page without text.
+NO_TEXT = "There is currently no text in this page"
+
+
+def has_text(page):
+    return ~F.contains(page, F.lit(NO_TEXT))
+
+
+def restrict_contests(contests: DataFrame, olympiad: list[str], *, all_contests: bool = False, names: list[str] | None = None) -> DataFrame:
+    """The catalog rows to crawl: the named ones (unknown names drop out), else the olympiad ones, else all."""
+    rows = contests.filter(F.col("contest").isin(*names)) if names else contests
+    return rows if all_contests else rows.filter(F.col("contest").isin(*olympiad))
+
+
+def forum_threads(searches: DataFrame, *, per_year: int = 10, max_threads: int = 0) -> DataFrame:
+    """``year, link``: of each year's search page (``year, url, page``) the first links to threads; 0 means no overall limit."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = [(int(y), k, urljoin(u, h)) for y, u, p in zip(batch["year"], batch["url"], batch["page"]) for k, h in enumerate(links(p)) if "/community/c" in h]
+            yield pd.DataFrame(rows, columns=["year", "at", "link"])
+
+    from pyspark.sql import Window
+
+    found = searches.select("year", "url", "page").mapInPandas(run, "year int, at int, link string")
+    nth = F.row_number().over(Window.partitionBy("year").orderBy("at"))
+    kept = found.withColumn("nth", nth).filter(F.col("nth") <= per_year).orderBy("year", "nth").select("year", "link")
+    return kept.limit(max_threads) if max_threads else kept
+
+
+def tree_files(listings: DataFrame, *, suffix: str = ".tex", prefix: str = "") -> DataFrame:
+    """``repository, path, file_name`` of the files that JSON tree listings (``repository, body``) name; a body that fails gives none."""
+    tree = F.coalesce(F.from_json("body", "tree array<struct<path:string>>")["tree"], F.array().cast("array<struct<path:string>>"))
+    paths = listings.select("repository", F.explode(tree).alias("x")).select("repository", "x.path").filter("path is not null")
+    return paths.filter(F.endswith("path", F.lit(suffix)) & F.startswith("path", F.lit(prefix))).withColumn("file_name", F.replace("path", F.lit("/"), F.lit("_")))
+
+
+def not_on_disk(urls: DataFrame, files: DataFrame) -> DataFrame:
+    """Addresses whose file name is not among ``file_name`` of the files at hand."""
+    name = F.substring_index(F.parse_url("url", F.lit("PATH")), "/", -1)
+    return urls.withColumn("file_name", name).join(files.select("file_name").distinct(), "file_name", "left_anti")
+
+
+def large_enough(content, least: int = 200):
+    return F.octet_length(content) > least
