@@ -51,7 +51,7 @@ def p5_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cases = p5_shares(spark, sf_dir).filter("band = 'repetitive' and repeated_share >= 0.35")
+    cases = p5_shares(spark, sf_dir).filter("repeated_share >= 0.35")
     return cases.select("tab", "row_id").distinct()
 
 

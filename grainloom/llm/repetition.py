@@ -3,8 +3,9 @@
 A text is coded as its words, four bytes a word, and compressed by zstandard: with words as letters the
 ratio says how much of the text is repeated, not how compressible its language is. Ratios of the whole
 text and of chunks of fixed length are held against limits that depend on the length. The limit of the
-band "repetitive" is what a text with the given repeated share reaches at the least, so texts below it
-need no exact measure to be rejected as cases.
+band "repetitive" is what a text with the given repeated share reaches if every run is found. The
+compressor does not find them all (after a long stretch without matches it looks at few places only), so
+the band describes a text and rejects none: the exact share is measured for every text and decides.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ FRAME, MATCH = 18, 6
 
 
 def least_ratio(n_words: np.ndarray | float, share: float, run: int, margin: float = 0.97) -> np.ndarray | float:
-    """The ratio that a text of n_words with this repeated share has at the least.
+    """The ratio that a text of n_words with this repeated share has at the least if every run is found.
 
     Unrepeated words cost WORD_BYTES each; the repeated ones come in matches of at least ``run`` words.
     """
@@ -59,7 +60,8 @@ def measure_repetition(texts: DataFrame, *, keys: tuple[str, ...], text: str = "
 
     Returns the key columns with ``n_words, n_repeated, repeated_share, ratio, chunk_ratio, band``.
     ``band`` is ``repetitive`` (the whole text or a chunk reaches the limit of its length),
-    ``incompressible`` (the ratio stays under 1 in a text of 64 words or more) or ``normal``. Words are
+    ``incompressible`` (the ratio stays under 1 in a text of 64 words or more) or ``normal``; cases are told
+    by ``repeated_share``, since a long text can have the share and stay below the limit. Words are
     separated by white space, case ignored; a word is repeated if it lies in a run of ``run`` or more words
     that already stood earlier in the same text. No shuffle. Null and blank texts have no words, share 0
     and band ``normal``; each input row gives one row.

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from grainloom.llm import arrays, canonical, repetition, truncation
+from grainloom.llm import arrays, canonical, queries, repetition, truncation
 from grainloom.llm.endings import judge, with_endings
 
 CHAT = "rec_id bigint, index string, source string, messages array<struct<role:string,content:string>>, extra string, row_id string, text int"
@@ -125,6 +125,19 @@ def test_limit_of_the_band_is_below_every_case(n):
         assert len(coded) / len(press.compress(coded)) >= repetition.least_ratio(len(out), 0.35, 6)
 
 
+def test_repeats_after_a_long_distinct_part_are_found(spark, tmp_path):
+    rng = random.Random(5)
+    rows = []
+    for i, (n, share) in enumerate([(12_000, 0.42), (20_000, 0.50), (20_000, 0.30)]):
+        words = [f"w{k}" for k in range(n - round(n * share / 6) * 6)]
+        runs = [words[at : at + 6] for at in (rng.randrange(len(words) - 6) for _ in range(round(n * share / 6)))]
+        rows.append((i, "a", [("assistant", " ".join(words + sum(runs, [])))], None))
+    chat(spark, rows).write.parquet(f"{tmp_path}/chat_records.parquet")
+    spark.createDataFrame([(7, rows[1][2][0][1]), (8, None)], "pair_id bigint, chosen string").write.parquet(f"{tmp_path}/dpo_pairs.parquet")
+    assert [brute_repeated(m[0][1])[1] >= 0.35 * n for (_, _, m, _), n in zip(rows, (12_000, 20_000, 20_000))] == [True, True, False]
+    assert {(r.tab, r.row_id) for r in queries.p5_found(spark, str(tmp_path)).collect()} == {("chat_records", 0), ("chat_records", 1), ("dpo_pairs", 7)}
+
+
 def brute_canonical(text):
     if text is None:
         return None
