@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import heapq
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,23 +30,147 @@ def value_class(value: Column) -> Column:
     return F.when(host != "", host).otherwise(F.regexp_replace(F.lower(value), r"\p{Nd}+", "9"))
 
 
-def transition_precedence(values: DataFrame, *, salts: int = 32, hot: int = 10_000) -> DataFrame:
-    """Learned order of value classes: ``kind, level``; the higher level comes later.
+def transitions(values: DataFrame, *, salts: int = 32, hot: int = 10_000) -> DataFrame:
+    """What follows what: ``before, after``, one row for each two kinds of which one follows the other more often.
 
     ``values`` has ``key, row_id, kind, at``. In each group, rows with a time are put in order and each
-    step from one kind to another is a transition; of two kinds the one that follows more often is later,
-    and a kind's level is how many kinds it follows less how many follow it (for kinds whose order has no
-    cycle, a topological order). Groups of ``hot`` rows or more are ordered in ``salts`` parts, whose steps
-    are steps of the group too.
+    step from one kind to another is a transition. Groups of ``hot`` rows or more are ordered in ``salts`` parts.
     """
     dated = values.filter("at is not null")
     sizes = dated.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") >= hot).select("key", F.lit(True).alias("is_hot"))
     salted = dated.join(sizes, "key", "left").withColumn("salt", F.when(F.col("is_hot"), F.pmod(F.xxhash64("row_id"), F.lit(salts))).otherwise(0))
     row = Window.partitionBy("key", "salt").orderBy("at", "row_id")
     steps = salted.select("kind", F.lead("kind").over(row).alias("next")).filter("kind <> next")
-    pair = steps.groupBy(F.least("kind", "next").alias("a"), F.greatest("kind", "next").alias("b")).agg(F.sum(F.when(F.col("kind") < F.col("next"), 1).otherwise(-1)).alias("ahead"))
-    wins = pair.select(F.explode(F.array(F.struct(F.col("b").alias("kind"), F.signum("ahead").alias("won")), F.struct(F.col("a").alias("kind"), (-F.signum("ahead")).alias("won")))).alias("x"))
-    return wins.groupBy("x.kind").agg(F.sum("x.won").alias("level"))
+    pair = steps.groupBy(F.least("kind", "next").alias("a"), F.greatest("kind", "next").alias("b")).agg(F.sum(F.when(F.col("kind") < F.col("next"), 1).otherwise(-1)).alias("ahead")).filter("ahead <> 0")
+    return pair.select(F.when(F.col("ahead") > 0, F.col("a")).otherwise(F.col("b")).alias("before"), F.when(F.col("ahead") > 0, F.col("b")).otherwise(F.col("a")).alias("after"))
+
+
+def components(after: list[list[int]]) -> list[int]:
+    """The number of each node's strongly connected component; an edge between two components goes to the lower number."""
+    n = len(after)
+    number, low, part = [-1] * n, [0] * n, [-1] * n
+    stack: list[int] = []
+    seen = parts = 0
+    for root in range(n):
+        if number[root] >= 0:
+            continue
+        walk = [(root, iter(after[root]))]
+        number[root] = low[root] = seen
+        seen += 1
+        stack.append(root)
+        while walk:
+            node, rest = walk[-1]
+            for other in rest:
+                if number[other] < 0:
+                    number[other] = low[other] = seen
+                    seen += 1
+                    stack.append(other)
+                    walk.append((other, iter(after[other])))
+                    break
+                if part[other] < 0:
+                    low[node] = min(low[node], number[other])
+            else:
+                walk.pop()
+                if walk:
+                    low[walk[-1][0]] = min(low[walk[-1][0]], low[node])
+                if low[node] == number[node]:
+                    while part[node] < 0:
+                        part[stack.pop()] = parts
+                    parts += 1
+    return part
+
+
+class Precedence:
+    """The learned order of kinds: their graph, and the graph of its strongly connected components."""
+
+    def __init__(self, edges: Iterable[tuple[str, str]]) -> None:
+        self.ids: dict[str, int] = {}
+        found = {(self.ids.setdefault(a, len(self.ids)), self.ids.setdefault(b, len(self.ids))) for a, b in edges}
+        self.after: list[list[int]] = [[] for _ in self.ids]
+        for a, b in found:
+            self.after[a].append(b)
+        self.part = components(self.after)
+        self.next: list[set[int]] = [set() for _ in range(max(self.part, default=-1) + 1)]
+        for a, b in found:
+            if self.part[a] != self.part[b]:
+                self.next[self.part[a]].add(self.part[b])
+
+    def levels(self, kinds: Iterable[str]) -> dict[str, int]:
+        """Of a group's kinds, how many of them the longest path that ends at a kind has passed.
+
+        A kind precedes another if a path leads to it, over kinds of other groups too, and none back. Of kinds
+        in one cycle only the direct steps between kinds of the group count, and what is a cycle even so is level.
+        """
+        level = dict.fromkeys(kinds, 0)
+        members: dict[int, list[int]] = {}
+        names = {self.ids[k]: k for k in level if k in self.ids}
+        for node in names:
+            members.setdefault(self.part[node], []).append(node)
+        passed = dict.fromkeys(members, 0)
+        lowest, heap = min(members, default=0), [-p for p in members]
+        heapq.heapify(heap)
+        while heap:
+            here = -heapq.heappop(heap)
+            out = passed[here]
+            if here in members:
+                inner = self.within(members[here])
+                level.update((names[node], out + depth) for node, depth in inner.items())
+                out += 1 + max(inner.values())
+            for there in self.next[here]:
+                if there >= lowest:
+                    if there not in passed:
+                        heapq.heappush(heap, -there)
+                    passed[there] = max(passed.get(there, 0), out)
+        return level
+
+    def within(self, nodes: list[int]) -> dict[int, int]:
+        """The same for kinds of one component, by the direct steps between them."""
+        if len(nodes) == 1:
+            return {nodes[0]: 0}
+        place = {node: i for i, node in enumerate(nodes)}
+        after = [[place[x] for x in self.after[node] if x in place] for node in nodes]
+        part = components(after)
+        depth = [0] * (max(part) + 1)
+        for i in sorted(range(len(nodes)), key=lambda i: -part[i]):
+            for j in after[i]:
+                if part[i] != part[j]:
+                    depth[part[j]] = max(depth[part[j]], depth[part[i]] + 1)
+        return {node: depth[part[i]] for i, node in enumerate(nodes)}
+
+
+def group_levels(edges: DataFrame, groups: DataFrame, *, parts: int = 8) -> DataFrame:
+    """``kinds, kind, level`` for each row ``kinds`` (a sorted array) of ``groups``; the higher level comes later in the group.
+
+    Each of ``parts`` tasks has the whole graph of kinds and a part of the groups.
+    """
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        edges: set[tuple[str, str]] = set()
+        order = None
+        for batch in batches:
+            rows: list[tuple] = []
+            for kinds, edge in zip(batch.column(2).to_pylist(), batch.column(1).to_pylist()):
+                if edge:
+                    edges.add(tuple(kinds))
+                else:
+                    order = order or Precedence(edges)
+                    rows += [(kinds, kind, level) for kind, level in order.levels(kinds).items()]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), (pa.list_(pa.string()), pa.string(), pa.int64()))], ["kinds", "kind", "level"])
+
+    graph = edges.select(F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), F.lit(True).alias("edge"), F.array("before", "after").alias("kinds"))
+    asked = groups.select("kinds").distinct().select(F.pmod(F.xxhash64("kinds"), F.lit(parts)).cast("int").alias("part"), F.lit(False).alias("edge"), "kinds")
+    return graph.unionByName(asked).repartition(parts, "part").sortWithinPartitions(F.desc("edge")).mapInArrow(scan, "kinds array<string>, kind string, level bigint")
+
+
+def transition_precedence(values: DataFrame, *, salts: int = 32, hot: int = 10_000) -> DataFrame:
+    """Learned order of all value classes: ``kind, level``; the higher level comes later.
+
+    The level is the length of the longest path of transitions to the kind; kinds in one cycle have the same.
+    """
+    edges = transitions(values, salts=salts, hot=hot)
+    every = edges.select(F.explode(F.array("before", "after")).alias("kind")).agg(F.sort_array(F.collect_set("kind")).alias("kinds")).filter("size(kinds) > 0")
+    return group_levels(edges, every, parts=1).select("kind", "level")
 
 
 def surviving_rows(rows: DataFrame, sources: DataFrame, *, key: str = "index", row_id: str = "row_id", messages: str = "messages", answer: str = "final_answer", url: str = "url", source: str = "source", at: str = "updated_at") -> DataFrame:
@@ -51,10 +179,11 @@ def surviving_rows(rows: DataFrame, sources: DataFrame, *, key: str = "index", r
     Only keys with two or more rows; null keys stand alone and give nothing. ``solution``: the longest
     assistant content without outer white space; ``final_answer``: the value of the most trusted source
     (sources without a rank come last); ``url``: the latest value; where no value of the group has a time,
-    the topologically latest by the transitions learned from all groups. Null, blank and placeholder values
+    the topologically latest of its kinds by the transitions learned from all groups. Null, blank and placeholder values
     never survive; a field without a surviving value gives no row; the smallest row_id decides ties and
     repeated rows count as one row. Every choice is a minimum of a small struct, so no group, however
-    large, meets in one task. Empty tables give no rows; other columns are ignored.
+    large, meets in one task; only its distinct kinds do, and the graph of kinds. Empty tables give no rows;
+    other columns are ignored.
     """
     ranks = sources.groupBy(F.col("source").alias("s")).agg(F.min("trust_rank").alias("rank"))
     solution = F.array_max(F.transform(F.filter(messages, lambda m: m["role"] == "assistant"), lambda m: F.struct(F.length(surviving(m["content"])).alias("n"), surviving(m["content"]).alias("v"))))
@@ -62,8 +191,9 @@ def surviving_rows(rows: DataFrame, sources: DataFrame, *, key: str = "index", r
         F.col(key).alias("key"), F.col(row_id).alias("row_id"), F.col(source).alias("s"), solution["v"].alias("solution"), surviving(F.col(answer)).alias("answer"), surviving(F.col(url)).alias("url"), F.unix_micros(F.col(at).cast("timestamp")).alias("at"),
     )
     values = base.filter("url is not null").select("key", "row_id", value_class(F.col("url")).alias("kind"), "at")
-    levels = transition_precedence(values)
-    ranked = base.join(ranks, "s", "left").withColumn("kind", value_class(F.col("url"))).join(levels, "kind", "left")
+    undated = values.groupBy("key").agg(F.max("at").alias("at"), F.sort_array(F.collect_set(F.when(F.col("at").isNull(), F.col("kind")))).alias("kinds")).filter("at is null and size(kinds) > 1").select("key", "kinds")
+    levels = undated.join(group_levels(transitions(values), undated), "kinds").select("key", "kind", "level")
+    ranked = base.join(ranks, "s", "left").withColumn("kind", value_class(F.col("url"))).join(levels, ["key", "kind"], "left")
     last = F.lit(2**31 - 1)
 
     def best(value: str, *order: Column) -> Column:

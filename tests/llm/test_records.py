@@ -94,6 +94,36 @@ def test_latest_value_without_times_follows_learned_transitions(spark, hot):
     assert levels["old"] < levels["new"]
 
 
+def test_latest_value_is_topologically_latest(spark):
+    steps = ["xa", "ya", "za", "ab", "bc", "pq", "qr", "rp"]
+    rows = [(10 * g + k, f"g{g}", "top", "s", "1", f"https://{h}.example/{g}", 1 + k) for g, pair in enumerate(steps) for k, h in enumerate(pair)]
+    # the smallest row_id decides where nothing is learned (u), or where the group's own kinds are in a cycle
+    undated = {"ab": "b", "ba": "b", "ac": "c", "ua": "u", "au": "a", "qp": "q", "pq": "q", "rqp": "r", "uxc": "c", "axu": "a"}
+    rows += [(1000 + 10 * g + k, f"n{kinds}", "top", "s", "1", f"https://{h}.example/{g}", None) for g, kinds in enumerate(undated) for k, h in enumerate(kinds)]
+    got = {r["index"][1:]: r.value[8] for r in survivor.surviving_rows(merge(spark, rows), sources(spark)).filter("field = 'url' and index like 'n%'").collect()}
+    assert got == undated
+    values = merge(spark, rows).selectExpr("index key", "row_id", "substring(url, 9, 1) kind", "unix_micros(updated_at) at")
+    levels = {r.kind: r.level for r in survivor.transition_precedence(values).collect()}
+    assert levels == {"x": 0, "y": 0, "z": 0, "a": 1, "b": 2, "c": 3, "p": 0, "q": 0, "r": 0}
+
+
+def test_levels_follow_every_path():
+    rng = np.random.default_rng(6)
+    for _ in range(200):
+        n = int(rng.integers(2, 9))
+        edges = {(a, b) for a, b in rng.integers(0, n, (int(rng.integers(1, 2 * n)), 2)).tolist() if a != b}
+        edges = {(a, b) for a, b in edges if a < b or (b, a) not in edges}
+        reach = {(a, b): (a, b) in edges for a in range(n) for b in range(n)}
+        for k in range(n):
+            for a in range(n):
+                for b in range(n):
+                    reach[a, b] |= reach[a, k] and reach[k, b]
+        group = sorted(set(rng.integers(0, n + 1, 5).tolist()))
+        levels = survivor.Precedence((str(a), str(b)) for a, b in edges).levels([str(k) for k in group])
+        assert all(levels[str(a)] < levels[str(b)] for a in group for b in group if reach.get((a, b)) and not reach[b, a])
+        assert all(v == 0 for k, v in levels.items() if not any(reach.get((a, int(k))) for a in group if a != int(k)))
+
+
 TEXTS = {
     1: ("<h2>Proof 4</h2>\n<p>It holds.</p><ul><li>One.</li><li>Two.</li></ul>", {"html"}), 2: ("It&nbsp;is $a&lt;b$ here", {"html"}), 3: ("## Proof 3\n\nIt **holds**.\n\n- One\n- Two", {"markdown"}),
     4: ("See [this](https://x.example/t/1) and `gcd(4, k)`.", {"markdown"}), 5: ("a\n\n| case | value |\n|------|-------|\n| 1 | 8 |", {"markdown"}), 6: ("== Proof 5 ==\nIt '''holds''' by [[Parity 3|parity]].", {"wiki"}),
