@@ -34,13 +34,22 @@ def transitions(values: DataFrame, *, salts: int = 32, hot: int = 10_000) -> Dat
     """What follows what: ``before, after``, one row for each two kinds of which one follows the other more often.
 
     ``values`` has ``key, row_id, kind, at``. In each group, rows with a time are put in order and each
-    step from one kind to another is a transition. Groups of ``hot`` rows or more are ordered in ``salts`` parts.
+    step from one kind to another is a transition. Groups of ``hot`` rows or more are ordered in about ``salts``
+    ranges of time, and the step from each range to the next is added, so the steps are those of the whole group.
     """
-    dated = values.filter("at is not null")
-    sizes = dated.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") >= hot).select("key", F.lit(True).alias("is_hot"))
-    salted = dated.join(sizes, "key", "left").withColumn("salt", F.when(F.col("is_hot"), F.pmod(F.xxhash64("row_id"), F.lit(salts))).otherwise(0))
-    row = Window.partitionBy("key", "salt").orderBy("at", "row_id")
-    steps = salted.select("kind", F.lead("kind").over(row).alias("next")).filter("kind <> next")
+    dated = values.filter("at is not null").select("key", "kind", F.struct("at", "row_id", "kind").alias("row"))
+    sizes = dated.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") >= hot)
+    # the bounds of a hot group's parts: about 16 rows a part, taken by hash, every 16th of them in order
+    drawn = dated.join(sizes, "key").filter(F.pmod(F.xxhash64("row.row_id"), F.greatest(F.lit(1), F.floor(F.col("n") / (16 * salts)))) == 0)
+    bounds = drawn.groupBy("key").agg(F.sort_array(F.collect_set("row")).alias("drawn"))
+    cuts = F.transform(F.sequence(F.lit(0), F.lit(salts - 1)), lambda i: F.element_at("drawn", F.floor(i * F.size("drawn") / salts).cast("int") + 1))
+    bounds = sizes.join(bounds, "key", "left").select("key", F.coalesce(cuts, F.array()).alias("cuts"))
+    parted = dated.join(bounds, "key", "left").select("key", "kind", "row", F.when(F.col("cuts").isNotNull(), F.size(F.filter("cuts", lambda c: c <= F.col("row")))).alias("part"))
+    row = Window.partitionBy("key", "part").orderBy("row")
+    within = parted.select("kind", F.lead("kind").over(row).alias("next"))
+    ends = parted.filter("part is not null").groupBy("key", "part").agg(F.min("row").alias("first"), F.max("row").alias("last"))
+    across = ends.select(F.col("last.kind").alias("kind"), F.lead("first.kind").over(Window.partitionBy("key").orderBy("part")).alias("next"))
+    steps = within.unionByName(across).filter("kind <> next")
     pair = steps.groupBy(F.least("kind", "next").alias("a"), F.greatest("kind", "next").alias("b")).agg(F.sum(F.when(F.col("kind") < F.col("next"), 1).otherwise(-1)).alias("ahead")).filter("ahead <> 0")
     return pair.select(F.when(F.col("ahead") > 0, F.col("a")).otherwise(F.col("b")).alias("before"), F.when(F.col("ahead") > 0, F.col("b")).otherwise(F.col("a")).alias("after"))
 

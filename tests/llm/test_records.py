@@ -107,6 +107,16 @@ def test_latest_value_is_topologically_latest(spark):
     assert levels == {"x": 0, "y": 0, "z": 0, "a": 1, "b": 2, "c": 3, "p": 0, "q": 0, "r": 0}
 
 
+@pytest.mark.parametrize("salts", [1, 3, 32])
+def test_hot_groups_give_their_own_steps(spark, salts):
+    """One large group says a, b, c, a, b, c; others say the reverse, more often than a split by hash would outweigh."""
+    rows = [("hot", k, "abc"[k % 3], k // 7) for k in range(1500)] + [("same", k, "de"[k // 300], 5) for k in range(600)]
+    rows += [(f"g{g}", 10_000 + 3 * g + k, "cba"[k], k) for g in range(150) for k in range(3)] + [("one", 9_000, "f", 1), ("one", 9_001, "g", None)] + [("repeated", 77, "h", 3)] * 700
+    values = spark.createDataFrame(rows, "key string, row_id bigint, kind string, at bigint")
+    whole, split = ({(r.before, r.after) for r in survivor.transitions(values, hot=hot, salts=salts).collect()} for hot in (10_000, 500))
+    assert whole == split == {("a", "b"), ("b", "c"), ("c", "a"), ("d", "e")}
+
+
 def test_levels_follow_every_path():
     rng = np.random.default_rng(6)
     for _ in range(200):
