@@ -76,9 +76,7 @@ def anchors(texts: list[str], min_chars: int) -> tuple[np.ndarray, np.ndarray, n
             break
         right = (arrays.mix(names ^ np.uint64(0x5851F42D4C957F2D * (round_ + 1) & (1 << 64) - 1)) >> np.uint64(63)).astype(bool)
         joined = ~right[:-1] & right[1:] & (text[:-1] == text[1:]) & (high[1:] - low[:-1] <= width)
-        pair = np.flatnonzero(joined)
-        if not len(pair):
-            continue
+        pair = np.flatnonzero(joined)  # may be empty: the intervals widen all the same, or anchors would depend on the block
         # what stays single looked at its neighbour on one side
         new_low, new_high = low.copy(), high.copy()
         look = ~right[:-1] & (text[:-1] == text[1:])

@@ -97,3 +97,12 @@ def test_portions(spark):
     assert got[(3, 500)].share == 1.0 and got[(3, 500)].class_id == 3 and got[(4, 500)].class_id == 3 and got[(4, 500)].n_copies == 2
     assert got[(5, 0)].share == 0.0 and got[(7, 600)].n_shared == 0 and len(got) == 6
     assert spans.shared_portions(docs(spark, [])).count() == 0 and spans.sharing_pairs(docs(spark, [])).count() == 0
+
+
+def test_anchors_do_not_depend_on_the_block():
+    rng = random.Random(8)
+    texts = [" ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 9))) for _ in range(rng.randint(60, 130)))[: rng.randint(400, 460)] for _ in range(200)]
+    where, names, places = spans.anchors(texts, 400)
+    for k, text in enumerate(texts):
+        _, own_names, own_places = spans.anchors([text], 400)
+        assert sorted(zip(own_names.tolist(), own_places.tolist())) == sorted(zip(names[where == k].tolist(), places[where == k].tolist()))
