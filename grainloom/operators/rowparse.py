@@ -2,7 +2,8 @@
 
 Each line is parsed at minimum cost. Reading what the format allows costs nothing; inserting, deleting
 or escaping a quote, or inserting or deleting a delimiter, costs one. A line of cost zero whose values
-have the right types loads. For any other the cheapest edits name the reason: edits at the end of the
+have the right types loads (what json.loads reads costs nothing and is not parsed twice, except that it
+reads NaN and Infinity, which are no JSON; what it refuses may still cost nothing). For any other the cheapest edits name the reason: edits at the end of the
 line mean a broken shape, edits of quotes and escapes broken quoting, delimiters between csv fields a
 wrong number of columns.
 """
@@ -13,14 +14,17 @@ import heapq
 import json
 import re
 from collections.abc import Iterator
+from json.decoder import scanstring
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 ROLES = ("system", "user", "assistant")
 KEYS = ("index", "source", "messages")
-_LITERAL = re.compile(r"-?(?:0|[1-9]\d*)(?:\.\d+)?(?:[eE][+-]?\d+)?|true|false|null")
+_LITERAL = re.compile(r"-?(?:0|[1-9]\d*)(?:\.\d+)?(?:[eE][+-]?\d+)?|true|false|null", re.ASCII)
+_WORDS = {"true": True, "false": False, "null": None}
 _ESCAPE = re.compile(r'\\(?:["\\/bfnrt]|u[0-9a-fA-F]{4})')
+_WHOLE = re.compile(r"-0|[0-9]+")
 _STRING_END = re.compile(r'["\\\x00-\x1f,}\]:]')
 _PIECE = re.compile(r'[",:\[\]{}]')
 _SPACE = re.compile(r"[ \t\r\n]*")
@@ -167,6 +171,81 @@ def json_edits(line: str) -> list[tuple[str, int]] | None:
     return None
 
 
+class Number:
+    """A number as the line spells it, of any length."""
+
+    def __init__(self, text: str) -> None:
+        self.text = text
+
+
+def json_record(line: str) -> tuple[dict, dict[str, str]] | None:
+    """The object of a line that costs nothing, and the texts of its values; None if an edit is due.
+
+    The grammar and modes of ``json_edits``: at cost 0 there is never a choice, so one state at a time is
+    enough, and brackets may be as deep as they like. Of equal keys the last counts.
+    """
+    pos, end = _SPACE.match(line).end(), len(line)
+    if line[pos : pos + 1] != "{":
+        return None
+    top: dict = {}
+    texts: dict[str, str] = {}
+    stack: list[tuple[dict | list, str, int]] = [(top, "", pos)]
+    pos, mode, key = pos + 1, "k", ""
+    while stack:
+        pos = _SPACE.match(line, pos).end()
+        if pos == end:
+            return None
+        ch, into = line[pos], stack[-1][0]
+        closing = "}" if isinstance(into, dict) else "]"
+        if mode in ",ka" and ch == closing:
+            _, name, at = stack.pop()
+            pos, mode = pos + 1, ","
+            if len(stack) == 1:
+                texts[name] = line[at:pos]
+        elif mode == ",":
+            if ch != ",":
+                return None
+            pos, mode = pos + 1, "K" if closing == "}" else "v"
+        elif mode == ":":
+            if ch != ":":
+                return None
+            pos, mode = pos + 1, "v"
+        else:
+            at, value = pos, None
+            if ch == '"':
+                try:
+                    value, pos = scanstring(line, pos + 1, True)
+                except ValueError:
+                    return None
+                if mode in "kK":
+                    key, mode = value, ":"
+                    continue
+            elif mode in "kK":
+                return None
+            elif ch in "{[":
+                value, pos = {} if ch == "{" else [], pos + 1
+            else:
+                literal = _LITERAL.match(line, pos)
+                if not literal:
+                    return None
+                value, pos = _WORDS.get(literal[0], Number(literal[0])), literal.end()
+            if closing == "}":
+                into[key] = value
+            else:
+                into.append(value)
+            if into is top:
+                texts[key] = line[at:pos]
+            mode = ","
+            if ch in "{[":
+                stack.append((value, key, at))
+                mode = "k" if ch == "{" else "a"
+    return (top, texts) if _SPACE.match(line, pos).end() == end else None
+
+
+def _refuse(text: str) -> None:
+    raise ValueError(text)
+
+
 def csv_edits(line: str, n_fields: int = 4) -> tuple[list[tuple[str, int]], list[str]]:
     """The cheapest edits that make the line ``n_fields`` csv fields, and the fields as they then read.
 
@@ -217,6 +296,8 @@ def csv_edits(line: str, n_fields: int = 4) -> tuple[list[tuple[str, int]], list
 def valid_index(value: object) -> bool:
     if isinstance(value, bool):
         return False
+    if isinstance(value, Number):
+        return bool(_WHOLE.fullmatch(value.text))
     if isinstance(value, int):
         return value >= 0
     return value is None or isinstance(value, str) and value.isascii() and value.isdigit()
@@ -239,8 +320,10 @@ def parse_line(fmt: str, line: str) -> tuple[str | None, list[tuple[str, int]],
             return "value", [], None
         return None, [], {"index": index, "source": fields[1], "messages": [{"role": "user", "content": fields[2]}, {"role": "assistant", "content": fields[3]}]}
     try:
-        record = json.loads(line)
-    except (ValueError, RecursionError):
+        record, texts = json.loads(line, parse_constant=_refuse), None
+    except (ValueError, RecursionError):  # no JSON, or too deep or a number too long for it: the parse decides
+        record, texts = json_record(line) or (None, None)
+    if record is None and line.strip(" \t\r\n") != "null":
         edits = json_edits(line)
         shape = edits is None or any(e in SHAPE_EDITS for e, _ in edits)
         return "shape" if shape else "quoting", edits or [], None
@@ -250,6 +333,10 @@ def parse_line(fmt: str, line: str) -> tuple[str | None, list[tuple[str, int]],
         return "columns", [], None
     if not valid_index(record["index"]) or not valid_messages(record["messages"]):
         return "value", [], None
+    if texts is not None and isinstance(record["index"], Number):
+        record["index"] = record["index"].text.lstrip("-")
+    if texts is not None and isinstance(record["source"], (Number, bool, dict, list)):
+        record["source"] = texts["source"]
     return None, [], record
 
 

@@ -5,7 +5,7 @@ import random
 
 import pytest
 
-from grainloom.operators.rowparse import csv_edits, json_edits, parse_line, parse_rows
+from grainloom.operators.rowparse import SHAPE_EDITS, csv_edits, json_edits, json_record, parse_line, parse_rows
 
 GOOD = '{"index": 7, "source": "s", "messages": [{"role": "user", "content": "a \\"b\\" {c}, [d]: é"}, {"role": "assistant", "content": "x"}], "more": {"k": [1, null]}}'
 M = '"messages": [{"role": "user", "content": "a"}]'
@@ -48,6 +48,35 @@ def test_damage_is_named():
         assert parse_line("jsonl", line.replace("fine", "\\fine\\d"))[0] == "quoting"
 
 
+@pytest.mark.parametrize("more", ["NaN", "[Infinity]", '{"a": -Infinity}'])
+def test_constants_that_are_no_json_do_not_load(more):
+    line = GOOD.replace("[1, null]", more)
+    reason, edits, record = parse_line("jsonl", line)
+    assert record is None and edits and reason == ("shape" if any(e in SHAPE_EDITS for e, _ in edits) else "quoting")
+
+
+def test_valid_lines_of_any_size_load():
+    digits, deep = "7" * 5000, "[" * 30_000 + "]" * 30_000
+    line = lambda **x: "{" + ", ".join(f'"{k}": {v}' for k, v in ({"index": "7", "source": '"s"'} | x).items()) + ", " + M + "}"
+    for more, index, source in [({"more": digits}, "7", "s"), ({"more": "-" + digits}, "7", "s"), ({"more": deep}, "7", "s"), ({"index": digits}, digits, "s"), ({"source": digits}, "7", digits), ({"source": deep}, "7", deep), ({"more": deep, "index": "-0"}, "0", "s")]:
+        reason, edits, record = parse_line("jsonl", line(**more))
+        assert (reason, edits) == (None, []) and (str(record["index"]), record["source"]) == (index, source)
+        assert record["messages"] == [{"role": "user", "content": "a"}]
+    assert parse_line("jsonl", line(index="-" + digits))[0] == "value" and parse_line("jsonl", line(index=digits + ".5"))[0] == "value" and parse_line("jsonl", line(index=deep))[0] == "value"
+    assert parse_line("jsonl", line(more=digits)[:-1])[0] == "shape"
+
+
+def test_cost_0_is_what_the_parse_says():
+    rng = random.Random(9)
+    for _ in range(3000):
+        line = list('{"a": [1, -2.5e3, {"b": "x\\n"}, [], {}, null], "c": true}')
+        for _ in range(rng.randint(0, 2)):
+            at = rng.randrange(len(line))
+            line[at : at + rng.randint(0, 1)] = rng.choice(["", ",", '"', "]", "}", "1", " ", "-", "{", "[", ":", "٣"])
+        line = "".join(line)
+        assert (json_record(line) is not None) == (json_edits(line) == []), line
+
+
 def test_parse_rows(spark):
     rows = [(k, "f", k, fmt, line) for k, (fmt, line, _) in enumerate(CASES)] + [(900, "f", 1, "jsonl", None), (901, "f", 1, "csv", "  \t"), (902, "f", 1, None, GOOD), (903, "f", 1, "csv", "1,s," + "x" * 200_000 + ",y"), (0, "f", 0, "jsonl", GOOD)]
     df = spark.createDataFrame(rows, "line_id bigint, status string, line_no bigint, fmt string, line string")
