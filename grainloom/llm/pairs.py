@@ -86,22 +86,34 @@ def is_copy(question: list[str], answer: list[str], *, n: int = 5, containment:
     return both >= containment * len(a) and both >= containment * len(q) and common(question, answer) >= share * max(len(question), len(answer))
 
 
-_TEMPLATES = [_WORD.findall(t) for t in REFUSALS]
+_TEMPLATES = [(t, set(t)) for t in (_WORD.findall(r) for r in REFUSALS)]
+#: An equation outside of formulas, or a result that is announced.
+_RESULT = re.compile(rf"\\boxed|\w\s*[=≤≥≡]\s*[-\w]|(?:^|(?<=[.!?\n]))[\s>*_#]*(?:{'|'.join(HEADINGS)})\s*[*_]*:[*_]*[^\S\n]*\S", re.I)
 
 
-def is_refusal(question: list[str], answer: str, *, share: float = 0.9, other_words: int = 60) -> bool:
-    """A template aligns with the answer, which has no more than so many other words besides the question."""
+def derives(question: str, answer: str) -> bool:
+    """The answer works something out: it has a formula that the question has not, an equation or a result."""
+    asked = "".join(question.split())
+    formulas = ("".join(f.split()).strip("$.,;") for f in _FORMULA.findall(answer))
+    return any(f not in asked for f in formulas) or bool(_RESULT.search(_FORMULA.sub(" ", answer.replace("\\boxed", "\\boxed "))))
+
+
+def is_refusal(question: list[str], answer: str, asked: str = "", *, share: float = 0.9, other_words: int = 60) -> bool:
+    """A template aligns with a place of the answer, which is short besides the question or derives nothing.
+
+    ``question`` are the words of the question, ``asked`` is its text. An answer of more than ``other_words``
+    other words, or with a formula at its end, is a refusal if it has no formula that is not quoted from the
+    question, no equation and no result.
+    """
     words = _WORD.findall(answer.casefold().replace("’", "'"))
     if question and common(question, words[: len(question) + 5]) >= 0.9 * len(question):
         words = words[len(question) :]
-    if len(words) > other_words or "$" in answer[-45:]:
-        return False
-    for template in _TEMPLATES:
-        seen = len(set(template) & set(words))
-        if seen >= share * len(set(template)):
+    here = set(words)
+    for template, parts in _TEMPLATES:
+        if len(parts & here) >= share * len(parts):
             for i in range(max(1, len(words) - len(template) + 1)):
                 if common(template, words[i : i + len(template) + 2]) >= share * len(template):
-                    return True
+                    return not (len(words) > other_words or "$" in answer[-45:]) or not derives(asked, answer)
     return False
 
 
@@ -174,7 +186,7 @@ def broken_pairs(records: DataFrame, documents: DataFrame, *, row_id: str = "cot
                     found.append("empty")
                     continue
                 asked, body = _WORD.findall(after_heading(q).casefold()), after_heading(a)
-                if is_refusal(asked, body):
+                if is_refusal(asked, body, q):
                     found.append("refusal")
                 elif is_copy(asked, _WORD.findall(body.casefold())):
                     found.append("copy")

@@ -38,6 +38,18 @@ def test_broken_pairs(spark):
     assert "language" not in {r.defect for r in pairs.broken_pairs(cot(spark, rows), labelled(spark, [])).collect()}
 
 
+def test_long_refusals(spark):
+    reasons = " ".join(["The statement leaves open what is counted, and every reading of it leads somewhere else."] * 6)
+    refuse = "I am sorry, but I cannot help with this problem."
+    answers = {
+        1: (f"{refuse} {reasons} You may want to ask a teacher.", True), 2: (f"{reasons} Unfortunately, {refuse}", True), 3: ("I must decline to answer the question about $n^2+5$.", True), 4: (f"{refuse} {reasons} It is about $n^2 + 5$.", True),
+        5: (f"{refuse} {reasons} But $n=4$ works.", False), 6: (f"{refuse} {reasons}\nAnswer: 12", False), 7: (f"{refuse} {reasons} Hence n = 7.", False), 8: (reasons, False), 9: (f"{refuse} {reasons} We get \\boxed{{7}}.", False), 10: ("I cannot help with this, but $m=3$.", False),
+    }
+    rows = [(i, [("user", QUESTION), ("assistant", a)]) for i, (a, _) in answers.items()]
+    got = {r.row_id for r in pairs.broken_pairs(cot(spark, rows), labelled(spark)).filter("defect = 'refusal'").collect()}
+    assert got == {i for i, (_, refused) in answers.items() if refused}
+
+
 def test_common_subsequence():
     def slow(a, b):
         table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
