@@ -4,20 +4,22 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: White space for ``str.isspace``, as a Java character class body.
 WS = "\\t-\\r\\x1c-\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+#: The same characters as they are.
+SPACES = "".join(map(chr, [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 
 
 def strip(c: Column) -> Column:
     """Both ends without Unicode white space (``F.trim`` removes spaces only)."""
-    return F.regexp_replace(c, f"^[{WS}]+|[{WS}]+\\z", "")
+    return F.btrim(c, F.lit(SPACES))
 
 
 def rstrip(c: Column) -> Column:
-    return F.regexp_replace(c, f"[{WS}]+\\z", "")
+    return F.rtrim(c, F.lit(SPACES))
 
 
 def collapse_space(c: Column) -> Column:
@@ -29,7 +31,18 @@ def collapse_newlines(c: Column) -> Column:
 
 
 def word_count(c: Column) -> Column:
-    return F.regexp_count(c, F.lit(f"[^{WS}]+")).cast("int")
+    """Runs of characters that are no white space; splitting is cheaper than counting matches."""
+    bare = strip(c)
+    return F.when(bare == "", 0).otherwise(F.size(F.split(bare, f"[{WS}]+"))).cast("int")
+
+
+def once(rows: DataFrame, keep: list[str], **columns: Column) -> DataFrame:
+    """The kept columns and the new ones, each of which is computed once per row.
+
+    A generator over one struct is a bound that projections and filters are not folded through, so what
+    follows reads the values instead of repeating their expressions.
+    """
+    return rows.select(*keep, F.inline(F.array(F.struct(*[c.alias(k) for k, c in columns.items()]))))
 
 
 def count_char(c: Column, ch: str) -> Column:

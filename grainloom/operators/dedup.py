@@ -21,12 +21,6 @@ def keep_first(rows: DataFrame, key: Column, *order: Column, null_keys: str = "k
     return keyed.filter("_key is not null").withColumn("_first", first).filter("_first").drop("_key", "_first").unionByName(alone)
 
 
-def keep_best(rows: DataFrame, keys: list[str], size: Column, *order: Column) -> DataFrame:
-    """The row of greatest size per key, the earliest on ties."""
-    best = F.row_number().over(Window.partitionBy(*keys).orderBy(size.desc(), *order))
-    return rows.withColumn("_best", best).filter("_best = 1").drop("_best")
-
-
 def exclude_by_key(rows: DataFrame, others: DataFrame, key: Column) -> DataFrame:
     """Rows whose key is not among the others'; null keys count as empty; duplicates within rows stay."""
     keys = others.select(F.coalesce(key, F.lit("")).alias("_key")).distinct()

@@ -74,13 +74,20 @@ def route(flags: Column) -> Column:
     return F.when(F.array_contains(flags, "TRUNCATED"), "truncated").when(F.size(severe) > 0, "flagged").otherwise("clean")
 
 
-def score(solution: Column) -> Column:
-    """Quality good or broken, with what it was judged by."""
-    words, boxed = word_count(solution), F.contains(solution, F.lit(r"\boxed{"))
-    ends, cut = any_of(F.lower(tail(solution, 300)), ENDINGS), any_of(F.lower(tail(solution, 100)), CUTS)
-    good = ~cut & (((words >= 120) & ends) | ((words >= 80) & boxed))
-    fields = {"quality": F.when(good, "good").otherwise("broken"), "word_count": words, "has_boxed": boxed, "has_ending": ends, "seems_truncated": cut}
-    return F.struct(*[c.alias(k) for k, c in fields.items()])
+def score_texts(solution: Column) -> dict[str, Column]:
+    """What the score looks at, each to be computed once (``functions.text.once``)."""
+    return {"word_count": word_count(solution), "has_boxed": F.contains(solution, F.lit(r"\boxed{")), "last": F.lower(tail(solution, 300)), "close": F.lower(tail(solution, 100))}
+
+
+def score_marks() -> dict[str, Column]:
+    """The marks of the score, from the columns of ``score_texts``."""
+    return {"has_ending": any_of(F.col("last"), ENDINGS), "seems_truncated": any_of(F.col("close"), CUTS)}
+
+
+def quality() -> Column:
+    """Good or broken, from the columns of ``score_texts`` and ``score_marks``."""
+    long_enough = ((F.col("word_count") >= 120) & F.col("has_ending")) | ((F.col("word_count") >= 80) & F.col("has_boxed"))
+    return F.when(~F.col("seems_truncated") & long_enough, "good").otherwise("broken")
 
 
 def is_valid(question: Column, solution: Column, least: int = 100) -> Column:

@@ -220,22 +220,22 @@ def score_solution(spark, d):
 
 @query(_SCORED + "select h, quality, ord rec_id, wc word_count, source, boxed has_boxed from pool")
 def pools_best(spark, d):
-    return O.pools(O.scored(chat(spark, d))).select("h", "quality", F.col("ord").alias("rec_id"), F.col("word_count").cast("bigint").alias("word_count"), "source", "has_boxed")
+    return O.pools(O.best_of_problem(O.scored(chat(spark, d)), "source", "has_boxed")).select("h", "quality", F.col("ord").alias("rec_id"), F.col("word_count").cast("bigint").alias("word_count"), "source", "has_boxed")
 
 
 @query(_SCORED + "select h, ord rec_id from pool where quality = 'broken' and h not in (select h from pool where quality = 'good')")
 def broken_only(spark, d):
-    return O.broken_only(O.pools(O.scored(chat(spark, d)))).select("h", F.col("ord").alias("rec_id"))
+    return O.broken_only(O.best_of_problem(O.scored(chat(spark, d)))).select("h", F.col("ord").alias("rec_id"))
 
 
 @query(_SCORED + "select g.u problem, g.a chosen, b.a rejected, g.source chosen_source, b.source rejected_source from pool g join pool b using (h) where g.quality = 'good' and b.quality = 'broken'")
 def dpo_pairs_built(spark, d):
-    return O.preference_pairs(O.pools(O.scored(chat(spark, d))))
+    return O.preference_pairs(O.best_of_problem(O.scored(chat(spark, d)), "user", "assistant", "source"))
 
 
 @query(_SCORED + "select source source_file, count(*) filter (quality = 'good') good_unique, count(*) filter (quality = 'broken') broken_unique from pool group by source")
 def source_report(spark, d):
-    return O.source_report(O.pools(O.scored(chat(spark, d))))
+    return O.source_report(O.pools(O.best_of_problem(O.scored(chat(spark, d)), "source")))
 
 
 @query(_SCORED + """, n as (select source, count(*) total from chat_records group by source), k as (select source, count(*) filter (quality = 'good') good, count(*) filter (quality = 'broken') broken from s group by source)

@@ -5,38 +5,62 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from grainloom.functions.text import problem_hash
-from grainloom.operators.dedup import keep_best
-from grainloom.operators.messages import SYSTEM_PROMPT, chatml, chatml_part, parts, without_label
-from grainloom.operators.quality import score
+from grainloom.functions.text import once, problem_hash, strip
+from grainloom.operators.messages import SYSTEM_PROMPT, chatml, chatml_part, first_content, problem_text, without_label
+from grainloom.operators.quality import quality, score_marks, score_texts
 
 
 def scored(records: DataFrame, *, messages: str = "messages", source: str = "source", order: str = "rec_id") -> DataFrame:
-    """Key, score and rendered text of each record with a user and an assistant text."""
-    split = records.select(F.col(order).alias("ord"), F.col(source).alias("source"), parts(F.col(messages)).alias("p"))
-    split = split.filter("p.user <> '' and p.assistant <> ''")
-    rows = split.select("ord", "source", without_label(F.col("p.user"), "Problem").alias("user"), without_label(F.col("p.assistant"), "Solution").alias("assistant"))
-    text = chatml(F.lit(SYSTEM_PROMPT), F.concat(F.lit("Problem:\n"), F.col("user")), F.concat(F.lit("Solution:\n"), F.col("assistant")))
-    return rows.select("ord", "source", problem_hash(F.col("user")).alias("h"), score(F.col("assistant")).alias("s"), text.alias("text")).select("ord", "source", "h", "s.*", "text")
+    """Key, score and texts of each record with a user and an assistant text: ``ord, source, h, quality .. seems_truncated, user, assistant``."""
+    ms = F.col(messages)
+    split = once(records.select(F.col(order).alias("ord"), F.col(source).alias("source"), ms.alias("ms")), ["ord", "source"], u=problem_text(F.col("ms")), a=F.coalesce(strip(first_content(F.col("ms"), "assistant")), F.lit("")))
+    split = split.filter("u <> '' and a <> ''")
+    rows = once(split, ["ord", "source"], user=without_label(F.col("u"), "Problem"), assistant=without_label(F.col("a"), "Solution"))
+    judged = once(rows, ["ord", "source", "user", "assistant"], h=problem_hash(F.col("user")), **score_texts(F.col("assistant"))).withColumns(score_marks())
+    return judged.select("ord", "source", "h", quality().alias("quality"), "word_count", "has_boxed", "has_ending", "seems_truncated", "user", "assistant")
 
 
-def pools(rows: DataFrame) -> DataFrame:
-    """The best good and the best broken solution of each problem: one shuffle for both."""
-    return keep_best(rows, ["h", "quality"], F.col("word_count"), F.col("ord"))
+def rendered(user: Column, assistant: Column) -> Column:
+    """The training text of a pool: the fixed system prompt, labelled problem and solution."""
+    return chatml(F.lit(SYSTEM_PROMPT), F.concat(F.lit("Problem:\n"), user), F.concat(F.lit("Solution:\n"), assistant))
 
 
-def preference_pairs(pool: DataFrame) -> DataFrame:
-    """Problem, chosen (good) and rejected (broken) of problems that are in both pools, read back from the rendered texts."""
-    side = lambda q, name: pool.filter(F.col("quality") == q).select("h", F.col("text").alias(f"{name}_text"), F.col("source").alias(f"{name}_source"))
-    both = side("good", "chosen").join(side("broken", "rejected"), "h")
+SIDES = ("good", "broken")
+
+
+def best_of_problem(rows: DataFrame, *carried: str) -> DataFrame:
+    """For each problem its best good and its best broken solution: ``h, good, broken`` (null where there is none).
+
+    The longest solution by words, the earliest on ties; each side is a struct of ``ord, word_count`` and the
+    carried columns. One partial aggregate and one shuffle serve both sides, and only what is carried moves.
+    """
+    value = F.struct("ord", "word_count", *carried)
+    rank = F.struct(F.col("word_count"), (-F.col("ord")).alias("ord"))
+    return rows.groupBy("h").agg(*[F.max_by(value, F.when(F.col("quality") == q, rank)).alias(q) for q in SIDES])
+
+
+def pools(best: DataFrame) -> DataFrame:
+    """The members of both pools, one row each: ``h, quality`` and what ``best`` carries."""
+    sides = F.array_compact(F.array(*[F.when(F.col(q).isNotNull(), F.struct(F.lit(q).alias("quality"), F.col(q).alias("x"))) for q in SIDES]))
+    return best.select("h", F.inline(sides)).select("h", "quality", "x.*")
+
+
+def preference_pairs(best: DataFrame) -> DataFrame:
+    """Problem, chosen (good) and rejected (broken) of problems that are in both pools, read back from the rendered texts.
+
+    ``best`` carries ``user, assistant, source``.
+    """
+    both = best.filter("good is not null and broken is not null")
+    texts = once(both, ["good", "broken"], g=rendered(F.col("good.user"), F.col("good.assistant")), b=rendered(F.col("broken.user"), F.col("broken.assistant")))
     part = lambda c, role, label: without_label(chatml_part(F.col(c), role), label)
-    return both.select(
-        part("chosen_text", "user", "Problem").alias("problem"), part("chosen_text", "assistant", "Solution").alias("chosen"), part("rejected_text", "assistant", "Solution").alias("rejected"), "chosen_source", "rejected_source",
+    return texts.select(
+        part("g", "user", "Problem").alias("problem"), part("g", "assistant", "Solution").alias("chosen"), part("b", "assistant", "Solution").alias("rejected"), F.col("good.source").alias("chosen_source"), F.col("broken.source").alias("rejected_source"),
     )
 
 
-def broken_only(pool: DataFrame) -> DataFrame:
-    return pool.filter("quality = 'broken'").join(pool.filter("quality = 'good'").select("h"), "h", "left_anti")
+def broken_only(best: DataFrame) -> DataFrame:
+    """The broken solutions of problems without a good one."""
+    return best.filter("good is null and broken is not null").select("h", "broken.*")
 
 
 def source_report(pool: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +18,7 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int = 8) -> SparkSess
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.driver.memory", "8g")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -31,11 +33,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def checkpoint(df: DataFrame) -> DataFrame:
     """Cut the lineage through the shared folder of ``spark.checkpoint.dir``.
 
-    The folder is the cluster's; only where none is named (tests on one machine) a temporary one is
-    set. The written rows outlive a lost executor.
+    The folder is the cluster's; only where none is named and everything runs on one machine a temporary
+    one is set. A cluster without the setting is an error: no folder of one machine serves the others. The
+    written rows outlive a lost executor; ``spark.cleaner.referenceTracking.cleanCheckpoints`` removes them.
     """
     spark = df.sparkSession
     context = spark.sparkContext
     if not spark.conf.get("spark.checkpoint.dir", None) and context._jsc.sc().getCheckpointDir().isEmpty():
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         context.setCheckpointDir(os.path.join(tempfile.gettempdir(), "grainloom-checkpoints"))
     return df.checkpoint(eager=True)

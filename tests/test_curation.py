@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from grainloom.functions import text as T
 from grainloom.operators import dedup, extract, messages as M, quality as Q
 from grainloom.plans import catalogue, organize as O
+from grainloom.session import checkpoint
 from grainloom.sources import crawl, jsonl
 from grainloom.streaming import incremental
 
@@ -153,15 +154,16 @@ def test_streams(spark, tmp_path, small):
 
 
 def test_pools_are_disjoint_parts(spark, small):
-    pool = O.pools(O.scored(spark.read.parquet(f"{small}/chat_records.parquet")))
+    best = O.best_of_problem(O.scored(spark.read.parquet(f"{small}/chat_records.parquet")), "user", "assistant", "source")
+    pool = O.pools(best)
     good, broken = (pool.filter(f"quality = '{q}'").count() for q in ("good", "broken"))
-    assert O.preference_pairs(pool).count() + O.broken_only(pool).count() == broken and pool.select("h", "quality").distinct().count() == good + broken
+    assert O.preference_pairs(best).count() + O.broken_only(best).count() == broken and pool.select("h", "quality").distinct().count() == good + broken
 
 
 def test_plans(spark, small):
     q = catalogue.queries()
     plan = lambda n: q[n](spark, small)._jdf.queryExecution().executedPlan().toString()
-    assert "WindowGroupLimit" in plan("dedup_exact_first") and "WindowGroupLimit" in plan("pools_best") and "LeftAnti" in plan("exclude_by_problem")
+    assert "WindowGroupLimit" in plan("dedup_exact_first") and "LeftAnti" in plan("exclude_by_problem")
     for name in ("exclude_by_problem", "dpo_pairs_built", "merge_longest", "file_report", "checkpoint_resume"):
         assert "Cartesian" not in plan(name) and "BroadcastNestedLoop" not in plan(name)
     assert "text" not in plan("top10_per_group").split("ReadSchema")[1].split(">")[0]
@@ -181,3 +183,30 @@ def test_nothing_outside_imports_the_subpackage():
     for path in root.rglob("*.py"):
         if "llm" not in path.relative_to(root).parts:
             assert "grainloom.llm" not in path.read_text()
+    for name in ("pools_best", "dpo_pairs_built", "broken_only"):  # both sides of a pair come of one scan and one shuffle
+        assert plan(name).count("FileScan") == 1 and plan(name).count("Exchange hashpartitioning") == 1 and "Join" not in plan(name)
+        assert plan(name).count("regexp_replace") <= 8
+
+
+def test_cluster_needs_a_shared_folder():
+    class Cluster:
+        class sparkContext:
+            master = "spark://host:7077"
+
+            class _jsc:
+                @staticmethod
+                def sc():
+                    class Nowhere:
+                        @staticmethod
+                        def getCheckpointDir():
+                            return type("Option", (), {"isEmpty": staticmethod(lambda: True)})
+
+                    return Nowhere
+
+        class conf:
+            @staticmethod
+            def get(key, default):
+                return default
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint(type("Frame", (), {"sparkSession": Cluster}))
