@@ -47,11 +47,16 @@ def generated_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p5_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repetition.measure_repetition(generated_texts(spark, sf_dir), keys=("tab", "row_id", "part"))
+    shares = repetition.measure_repetition(generated_texts(spark, sf_dir), keys=("tab", "row_id", "part"))
+    return shares.select("tab", "row_id", F.col("part").cast("bigint").alias("part"), "n_words", "n_repeated", F.round("repeated_share", 6).alias("repeated_share"))
+
+
+def p5_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repetition.measure_repetition(generated_texts(spark, sf_dir), keys=("tab", "row_id", "part"), banded_only=True)
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cases = p5_shares(spark, sf_dir).filter("repeated_share >= 0.35")
+    cases = p5_bands(spark, sf_dir).filter("band in ('repetitive', 'unsure') and repeated_share >= 0.35")
     return cases.select("tab", "row_id").distinct()
 
 
@@ -130,7 +135,7 @@ union all select 'dpo_pairs', pair_id, 0, chosen from dpo_pairs),
 w as (select tab, row_id, part, list_filter(regexp_split_to_array(lower(text), '[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+'), lambda x: x <> '') ws from t),
 g as (select tab, row_id, part, i, row_number() over (partition by tab, row_id, part, ws[i:i+5] order by i) > 1 again from (select *, unnest(range(1, len(ws) - 4)) i from w where len(ws) >= 6)),
 c as (select tab, row_id, part, count(distinct j) n from (select tab, row_id, part, unnest(range(i, i + 6)) j from g where again) group by all)
-select distinct c.tab, c.row_id from c join w using (tab, row_id, part) where n >= 0.35 * len(ws)"""
+"""
 
 _P8 = r"""with d as (select doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') ws from documents),
 i as (select item_id, regexp_extract_all(lower(unnest([question, solution])), '[\p{L}\p{N}]+') ws from eval_items),
@@ -153,6 +158,7 @@ def oracle_sql() -> dict[str, str]:
         "p6_found": _P6,
         "p4_found": _P4 + "select keep_id, rec_id copy_id from g where rec_id <> keep_id",
         "p4_collapsed": _P4 + "select rec_id, n_copies from g where rec_id = keep_id",
-        "p5_found": _P5,
+        "p5_found": _P5 + "select distinct c.tab, c.row_id from c join w using (tab, row_id, part) where n >= 0.35 * len(ws)",
+        "p5_shares": _P5 + ", s as (select w.tab, w.row_id, w.part, coalesce(len(ws), 0) n_words, coalesce(n, 0) n_repeated from w left join c using (tab, row_id, part)) select *, round(n_repeated / greatest(n_words, 1), 6) repeated_share from s",
         "p8_found": _P8,
     }

@@ -103,26 +103,48 @@ def test_repetition_against_brute_force(spark):
     assert repetition.measure_repetition(df.limit(0), keys=("id",)).count() == 0
 
 
-@pytest.mark.parametrize("n", [18, 30, 60, 100, 200, 400, 1000, 20000])
-def test_limit_of_the_band_is_below_every_case(n):
-    """Texts of random words with exactly the given share in shortest runs, the hardest cases to compress."""
-    import zstandard
-
+def test_only_bands_are_measured(spark):
+    words = [f"w{i}" for i in range(400)]
+    texts = [" ".join(words), " ".join(words + words[:250]), ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    got = {r.id: r for r in repetition.measure_repetition(df, keys=("id",), banded_only=True).collect()}
+    assert got[0].band != "repetitive" and got[0].repeated_share is None
+    assert got[1].band == "repetitive" and got[1].n_repeated == 250 and got[2].repeated_share == 0
+
+
+def with_share(n, where, rng):
+    """Random words of which 35.2 % stood earlier: in shortest runs spread over the text, at its end, near by, or one far copy."""
+    k = -(-n * 352 // 1000)
+    fresh = [int(x) for x in rng.integers(0, 2**32, n - k)]
+    if where == "far":
+        return fresh + fresh[:k]
+    out, rest = (fresh, []) if where == "end" else (fresh[:12], fresh[12:])
+    repeated = 0
+    while rest or repeated < k:
+        if repeated < k and (not rest or where == "end" or repeated < 0.352 * (len(out) + 6)):
+            start = int(rng.integers(max(0, len(out) - 40), len(out) - 6)) if where == "near" else int(rng.integers(0, min(len(out), n - k) - 6))
+            out += out[start : start + 6]
+            repeated += 6
+        else:
+            out.append(rest.pop())
+    return out
+
+
+@pytest.mark.parametrize("where", ["spread", "end", "near", "far"])
+@pytest.mark.parametrize("n", [40, 60, 100, 400, 1000, 12_000, 31_250, 200_000])
+def test_limit_of_the_band_is_below_every_case(n, where):
     rng = np.random.default_rng(n)
-    press = zstandard.ZstdCompressor(level=6, write_content_size=False, write_checksum=False, write_dict_id=False)
-    for _ in range(40 if n < 5000 else 2):
-        runs = max(1, -(-n * 35 // 600))
-        unique = n - 6 * runs
-        words = list(rng.integers(0, 2**32, unique, dtype=np.uint32))
-        out, at = [], sorted(rng.integers(6, unique + 1, runs))
-        for i in range(unique + 1):
-            while at and at[0] == i:
-                at.pop(0)
-                start = int(rng.integers(0, i - 5))
-                out += words[start : start + 6]
-            out += words[i : i + 1]
-        coded = np.array(out, dtype=np.uint32).tobytes()
-        assert len(coded) / len(press.compress(coded)) >= repetition.least_ratio(len(out), 0.35, 6)
+    for _ in range(20 if n < 5000 else 1):
+        words = np.array(with_share(n, where, rng), dtype=np.uint32)
+        share = repetition.repeated_words(words.astype(np.uint64), np.array([0, len(words)]), 6)[0] / len(words)
+        if share >= 0.35:
+            assert repetition.ratio_of(words.tobytes()) >= repetition.least_ratio(len(words), 0.35, 6)
+
+
+def test_limit_holds_for_two_million_words():
+    words = np.random.default_rng(0).integers(0, 2**32, 1_000_000, dtype=np.uint32)
+    coded = np.concatenate([words, words]).tobytes()
+    assert repetition.ratio_of(coded) >= repetition.least_ratio(2_000_000, 0.35, 6)
 
 
 def test_repeats_after_a_long_distinct_part_are_found(spark, tmp_path):
