@@ -1,13 +1,15 @@
 """Duplicates hidden by formatting differences (problem 4).
 
-Records are compared by a canonical key. Exact partial counts find the hot keys; their copies are
-reduced in two levels (key and salt, then key) and the members learn their representative from a
-broadcast table whose size is bounded by the threshold. All other keys go through one shuffle, in
-groups smaller than the threshold. The representative is the smallest identifier.
+Records are compared by a canonical key. Exact counts, combined in each task before they move, find the
+hot keys; their copies are reduced in two levels (key and salt, then key) and the members learn their
+representative from a broadcast table whose size is bounded by the threshold. All other keys go through
+one shuffle, in groups smaller than the threshold. The representative is the smallest identifier.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,29 +39,24 @@ def record_key(messages: Column, extra: Column) -> Column:
     return F.when(messages.isNotNull(), F.unhex(F.md5(whole.cast("binary"))))
 
 
-def collapse(keyed: DataFrame, *, key: str = "key", row_id: str = "row_id", hot_share: float = 0.001, hot_least: int = 100_000, salts: int = 64) -> DataFrame:
+def collapse(keyed: DataFrame, *, key: str = "key", row_id: str = "row_id", hot_least: int = 16, hot_share: float = 1e-5, salts: int = 64) -> DataFrame:
     """Members of each group of equal keys: ``key, row_id, keep_id, n_copies``; null keys take no part.
 
-    A key is hot from ``hot_least`` rows on, and only if it holds ``hot_share`` of all rows: there are at
-    most ``1 / hot_share`` hot keys, which bounds what is broadcast. A repeated row_id counts as one row.
+    A key is hot from ``hot_least`` rows on if it holds ``hot_share`` of all rows: there are at most
+    ``1 / hot_share`` hot keys, which bounds what is broadcast, and no other group is larger than a hundred
+    thousandth of the rows. A repeated row_id counts as one row.
     """
     rows = checkpoint(keyed.select(F.col(key).alias("key"), F.col(row_id).alias("row_id")).filter("key is not null"))  # keys are small, and dear to compute
-    total = rows.count()
-    limit = max(hot_least, int(total * hot_share))
-    if total > limit:
-        hot = rows.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") >= limit).select("key")
-        hot = F.broadcast(hot)
-        hot_rows = rows.join(hot, "key", "left_semi")
-        salted = hot_rows.withColumn("salt", F.pmod(F.xxhash64("row_id"), F.lit(salts)))
-        first = salted.groupBy("key", "salt").agg(F.min("row_id").alias("keep_id"), F.count_distinct("row_id").alias("n_copies"))
-        keep = first.groupBy("key").agg(F.min("keep_id").alias("keep_id"), F.sum("n_copies").alias("n_copies"))
-        hot_members = hot_rows.join(F.broadcast(keep), "key").distinct()
-        rows = rows.join(hot, "key", "left_anti")
-    else:
-        hot_members = None
+    limit = max(hot_least, math.ceil(rows.count() * hot_share))
+    hot = F.broadcast(rows.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") >= limit).select("key"))
+    hot_rows = rows.join(hot, "key", "left_semi")
+    salted = hot_rows.withColumn("salt", F.pmod(F.xxhash64("row_id"), F.lit(salts)))
+    first = salted.groupBy("key", "salt").agg(F.min("row_id").alias("keep_id"), F.count_distinct("row_id").alias("n_copies"))
+    keep = first.groupBy("key").agg(F.min("keep_id").alias("keep_id"), F.sum("n_copies").alias("n_copies"))
+    hot_members = hot_rows.distinct().join(F.broadcast(keep), "key")
     group = Window.partitionBy("key")
-    cold = rows.distinct().select("key", "row_id", F.min("row_id").over(group).alias("keep_id"), F.count("*").over(group).alias("n_copies"))
-    return cold if hot_members is None else cold.unionByName(hot_members.select(cold.columns))
+    cold = rows.join(hot, "key", "left_anti").distinct().select("key", "row_id", F.min("row_id").over(group).alias("keep_id"), F.count("*").over(group).alias("n_copies"))
+    return cold.unionByName(hot_members.select(cold.columns))
 
 
 def formatting_duplicates(records: DataFrame, *, row_id: str = "rec_id", messages: str = "messages", extra: str = "extra", **limits: float) -> DataFrame:

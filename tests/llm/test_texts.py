@@ -179,7 +179,7 @@ def test_canonical_text(spark):
     assert got == [brute_canonical(t) for t in texts]
 
 
-@pytest.mark.parametrize("limits", [{}, {"hot_least": 2, "hot_share": 0.0}])
+@pytest.mark.parametrize("limits", [{}, {"hot_least": 2}, {"hot_least": 10**6}])
 def test_formatting_duplicates(spark, limits):
     rows = [
         (5, "a", [("user", "Find x."), ("assistant", "It is 1.5!")], '{"a": 1, "b": [1, 2]}'), (3, "b", [("user", "find  X"), ("assistant", "it is 1.5")], '{"b":[1,2],"a":1}'),
