@@ -56,18 +56,17 @@ def last_sentence(end: Column, is_open: Column) -> Column:
 
 
 def with_endings(texts: DataFrame, text: str = "text") -> DataFrame:
-    """Adds ``stop`` (the text closes with a stop), ``open`` (in a formula), ``tail`` (the masked last sentence)
-    and ``sample`` (a name of the text that ignores formatting); keeps the text only where there is no stop.
+    """The other columns with ``stop`` (the text closes with a stop), ``open`` (in a formula), ``tail`` (the masked
+    last sentence, where there is no stop) and ``sample`` (a name of the text that ignores formatting).
 
-    The result is written once: the steps that follow read it several times, and most texts have a stop.
+    The result is written once, without the texts: the steps that follow read it several times.
     """
     ended = texts.withColumn("end", bare_end(F.col(text))).withColumn("open", open_formula(F.col("end")))
     ended = ended.withColumn("stop", F.col("end").rlike(r"(?<!\.)[.?!。।∎■□]\z") & ~F.col("open"))
     ended = ended.withColumn("tail", last_sentence(F.col("end"), F.col("open")))
     ended = ended.withColumn("sample", F.xxhash64(F.regexp_replace(F.lower(F.right(F.col("end"), F.lit(160))), r"[^\p{L}\p{N}]", "")))
-    ended = ended.withColumn("tail_id", F.xxhash64("tail"))
-    slim = {c: F.when(~F.col("stop"), F.col(c)) for c in ("tail", text)}
-    return checkpoint(ended.withColumns(slim).drop("end"))
+    ended = ended.withColumn("tail_id", F.xxhash64("tail")).withColumn("tail", F.when(~F.col("stop"), F.col("tail")))
+    return checkpoint(ended.drop("end", text))
 
 
 def usual_tails(ended: DataFrame, *, least_texts: int = 3, least_share: float = 0.002) -> DataFrame:
@@ -92,13 +91,15 @@ def whole_by_itself(tail: Column) -> Column:
 
 
 def judge(ended: DataFrame, *, salts: int = 16, **limits: float) -> DataFrame:
-    """The texts without a stop, with ``whole``, and ``sure``: whole by itself or by habit.
+    """All texts, with ``whole``, and ``sure``: whole by a stop, by itself or by habit.
 
-    Only they look their tail up; the few usual tails are repeated for ``salts`` salts, so that one tail of
-    a third of all texts does not meet in one task.
+    Only those without a stop look their tail up; the few usual tails are repeated for ``salts`` salts, so
+    that one tail of a third of all texts does not meet in one task.
     """
     known = usual_tails(ended, **limits).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     asked = ended.filter("not stop").withColumn("salt", F.pmod("sample", F.lit(salts)).cast("int")).join(known, ["tail_id", "salt"], "left")
     habit, elsewhere = F.coalesce("habit", F.lit(False)), F.coalesce("elsewhere", F.lit(False))
     sure = ~F.col("open") & (habit | whole_by_itself(F.col("tail")))
-    return asked.withColumn("sure", sure).withColumn("whole", F.col("sure") | (~F.col("open") & elsewhere)).drop("tail_id", "salt", "habit", "elsewhere", "stop")
+    asked = asked.withColumn("sure", sure).withColumn("whole", F.col("sure") | (~F.col("open") & elsewhere)).drop("tail_id", "salt", "habit", "elsewhere")
+    stopped = ended.filter("stop").drop("tail_id").withColumns({"sure": F.lit(True), "whole": F.lit(True)})
+    return asked.unionByName(stopped)

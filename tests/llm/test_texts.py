@@ -59,16 +59,61 @@ def test_a_cut_record_delivered_often_is_still_cut(spark):
 
 def test_encoded_lengths(spark):
     text = 'a<b & "c"\né😀'
-    got = spark.createDataFrame([(text,)], "t string").select(*[c.alias(k) for k, c in truncation.encoded_lengths(F.col("t")).items()]).first()
+    got = spark.createDataFrame([(text,)], "t string").select(truncation.encoded_lengths(F.col("t")).alias("x")).first().x
+    got = dict(zip(truncation.ENCODINGS, got))
     assert got["code points"] == len(text) and got["utf-8"] == len(text.encode()) and got["utf-16"] == len(text.encode("utf-16-le")) // 2
     assert got["json ascii"] == len(json.dumps(text)) - 2 and got["json"] == len(json.dumps(text, ensure_ascii=False)) - 2
     assert got["crlf"] == len(text) + 1 and got["entities"] == len(text.replace("&", "&amp;").replace("<", "&lt;"))
 
 
+STORED = {
+    "code points": lambda t: t, "utf-8": lambda t: t.encode(), "entities": lambda t: t.replace("&", "&amp;").replace("<", "&lt;").replace(">", "&gt;"),
+    "json ascii": lambda t: json.dumps(t)[1:-1], "crlf": lambda t: t.replace("\n", "\r\n"),
+}
+
+
+@pytest.mark.parametrize("encoding", list(STORED))
+def test_hidden_limits(spark, encoding):
+    """A source with a limit in one encoding, another one without; some texts are cut where only the limit tells it."""
+    rng = random.Random(3)
+    size, stored = 240, STORED[encoding]
+
+    def text(k):
+        return f"Let {k} < n & m.\n" + " ".join(rng.choice(["größe", "sum", "5 < 7", 'the "odd" one', "graph", "is & was"]) for _ in range(rng.randint(10, 40))) + "."
+
+    def fill(t):
+        """Words before the text, so that it ends exactly at the limit."""
+        while (gap := size - len(stored(t))) > 0:
+            t = "x" * min(gap, 9) + (" " if gap > 12 else "") + t
+        return t if gap == 0 else None
+
+    rows, cut, only = [], set(), set()
+    for k in range(300):
+        t = text(k)
+        rows.append((k, "free", [("assistant", t)], None))
+        while len(stored(t)) > size:
+            t = t[:-1]
+        if len(stored(t)) == size and not t.rstrip().endswith((".", "n")):
+            cut.add(1000 + k)
+        rows.append((1000 + k, "limited", [("assistant", t if 1000 + k in cut else text(k)[:100].rsplit(" ", 1)[0] + " holds.")], None))
+    for k in range(6):  # part of the answer 5861; a whole word as an answer; a whole sentence
+        for base, end in ((2000, f"We are done with {k}. Answer: 58"), (3000, f"It is clear by {k}. Answer: none"), (4000, f"It is clear by {k}.")):
+            rows.append((base + k, "limited", [("assistant", fill(f"Number {k}. {end}"))], None))
+            rows.append((base + 500 + k, "free", [("assistant", f"Number {k}. {end}")], None))
+        only.add(2000 + k)
+    found, limits = truncation.cut_contents(chat(spark, rows))
+    found = {r.row_id: r for r in found.collect()}
+    kept = limits.collect()
+    assert [(r.source, r.field_limit) for r in kept] == [("limited", size)] and len(cut) > 20
+    assert kept[0].encoding == encoding
+    assert only <= {i for i, r in found.items() if r.by_limit} <= only | cut
+    assert cut - set(found) == set() and not {i for i in found if i >= 3000 or i < 1000}
+
+
 def test_ends_are_judged_alike_after_reformatting(spark):
     texts = ["It holds. This proves the claim.", "IT HOLDS; THIS PROVES  THE CLAIM…", "It holds. This proves the claim”"]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
-    assert {r.i: r.whole for r in judge(with_endings(df)).collect()} == {1: True, 2: True}
+    assert {r.i: r.whole for r in judge(with_endings(df)).collect()} == {0: True, 1: True, 2: True}
 
 
 def brute_repeated(text, run=6):
