@@ -68,6 +68,10 @@ def p6_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return survivor.survivors(table(spark, sf_dir, "merge_rows"), table(spark, sf_dir, "source_catalog"))
 
 
+def p6_transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return survivor.transitions(survivor.url_values(table(spark, sf_dir, "merge_rows")))
+
+
 def marked_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     chat = table(spark, sf_dir, "chat_records").select(F.lit("chat_records").alias("tab"), F.col("rec_id").alias("row_id"), F.col("source").alias("host"), F.posexplode("messages").alias("part", "m"))
     chat = chat.select("tab", "row_id", "part", "host", F.col("m.content").alias("text"))
@@ -94,7 +98,7 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p8_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = p8_found(spark, sf_dir)
-    return found.groupBy("doc_id").agg(F.sort_array(F.collect_set("item_id")).alias("items"), F.count_distinct("item_id").alias("n_items"))
+    return found.groupBy("doc_id").agg(F.array_join(F.sort_array(F.collect_set("item_id")), ",").alias("items"), F.count_distinct("item_id").alias("n_items"))
 
 
 def p9_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -147,15 +151,31 @@ select distinct item_id, doc_id from pd join pi using (g)"""
 _HOLES = "'', " + ", ".join(f"'{p}'" for p in survivor.PLACEHOLDERS)
 _P6 = rf"""with r as (select m.*, trim(list_filter(messages, lambda x: x.role = 'assistant')[1].content, ' ' || chr(9) || chr(10) || chr(13) || chr(160)) sol, trim(final_answer) ans, trim(url) u, coalesce(c.trust_rank, 2147483647) trust
 from merge_rows m left join source_catalog c using (source) where index in (select index from merge_rows where index is not null group by 1 having count(*) > 1)),
-x as (select index, 'solution' field, row_id, row_number() over (partition by index order by length(sol) desc, row_id) n from r where lower(sol) not in ({_HOLES})
-union all select index, 'final_answer', row_id, row_number() over (partition by index order by trust, row_id) from r where lower(ans) not in ({_HOLES})
-union all select index, 'url', row_id, row_number() over (partition by index order by updated_at desc, row_id) from r where lower(u) not in ({_HOLES}))
-select index, field, row_id from x where n = 1"""
+x as (select index, 'solution' field, row_id, sol v, row_number() over (partition by index order by length(sol) desc, row_id) n from r where lower(sol) not in ({_HOLES})
+union all select index, 'final_answer', row_id, ans, row_number() over (partition by index order by trust, row_id) from r where lower(ans) not in ({_HOLES})
+union all select index, 'url', row_id, u, row_number() over (partition by index order by updated_at desc, row_id) from r where lower(u) not in ({_HOLES}))
+"""
+
+
+_P6_STEPS = rf"""with v as (select index, row_id, updated_at, trim(url) u from merge_rows where index is not null and updated_at is not null and lower(trim(url)) not in ({_HOLES})),
+k as (select index, row_id, updated_at, case when regexp_matches(u, '^[a-z]+://[^/?#]') then regexp_extract(u, '^[a-z]+://([^/?#]+)', 1) else regexp_replace(lower(u), '\p{{Nd}}+', '9', 'g') end kind from v),
+s as (select kind a, lead(kind) over (partition by index order by updated_at, row_id) b from k),
+p as (select least(a, b) x, greatest(a, b) y, sum(case when a < b then 1 else -1 end) ahead from s where a <> b group by all)
+select case when ahead > 0 then x else y end before, case when ahead > 0 then y else x end after from p where ahead <> 0"""
+
+# every window of 400 characters of every text, by its hash
+_P10 = """with w as (select distinct doc_id, md5_number_lower(text[k:k + 399]) h from (select doc_id, text, unnest(range(1, length(text) - 398)) k from documents where length(text) >= 400)),
+h as (select h from w group by h having count(*) > 1), m as (select doc_id, h from w semi join h using (h))
+select distinct a.doc_id doc_a, b.doc_id doc_b from m a join m b on a.h = b.h and a.doc_id < b.doc_id"""
 
 
 def oracle_sql() -> dict[str, str]:
     return {
-        "p6_found": _P6,
+        "p6_found": _P6 + "select index, field, row_id from x where n = 1",
+        "p6_survivors": _P6 + "select index, max(v) filter (field = 'solution') solution, max(v) filter (field = 'final_answer') final_answer, max(v) filter (field = 'url') url from x where n = 1 group by index",
+        "p6_transitions": _P6_STEPS,
+        "p8_documents": f"with f as ({_P8}) select doc_id, string_agg(cast(item_id as varchar), ',' order by item_id) items, count(*) n_items from f group by doc_id",
+        "p10_found": _P10,
         "p4_found": _P4 + "select keep_id, rec_id copy_id from g where rec_id <> keep_id",
         "p4_collapsed": _P4 + "select rec_id, n_copies from g where rec_id = keep_id",
         "p5_found": _P5 + "select distinct c.tab, c.row_id from c join w using (tab, row_id, part) where n >= 0.35 * len(ws)",

@@ -182,6 +182,12 @@ def transition_precedence(values: DataFrame, *, salts: int = 32, hot: int = 10_0
     return group_levels(edges, every, parts=1).select("kind", "level")
 
 
+def url_values(rows: DataFrame, *, key: str = "index", row_id: str = "row_id", url: str = "url", at: str = "updated_at") -> DataFrame:
+    """The surviving addresses with their kinds and times: ``key, row_id, kind, at``."""
+    values = rows.select(F.col(key).alias("key"), F.col(row_id).alias("row_id"), surviving(F.col(url)).alias("url"), F.unix_micros(F.col(at).cast("timestamp")).alias("at"))
+    return values.filter("key is not null and row_id is not null and url is not null").select("key", "row_id", value_class(F.col("url")).alias("kind"), "at")
+
+
 def surviving_rows(rows: DataFrame, sources: DataFrame, *, key: str = "index", row_id: str = "row_id", messages: str = "messages", answer: str = "final_answer", url: str = "url", source: str = "source", at: str = "updated_at") -> DataFrame:
     """For each key and field the row whose value survives, and the value: ``index, field, row_id, value``.
 
@@ -199,7 +205,7 @@ def surviving_rows(rows: DataFrame, sources: DataFrame, *, key: str = "index", r
     base = rows.filter(F.col(key).isNotNull() & F.col(row_id).isNotNull()).select(
         F.col(key).alias("key"), F.col(row_id).alias("row_id"), F.col(source).alias("s"), solution["v"].alias("solution"), surviving(F.col(answer)).alias("answer"), surviving(F.col(url)).alias("url"), F.unix_micros(F.col(at).cast("timestamp")).alias("at"),
     )
-    values = base.filter("url is not null").select("key", "row_id", value_class(F.col("url")).alias("kind"), "at")
+    values = url_values(rows, key=key, row_id=row_id, url=url, at=at)
     undated = values.groupBy("key").agg(F.max("at").alias("at"), F.sort_array(F.collect_set(F.when(F.col("at").isNull(), F.col("kind")))).alias("kinds")).filter("at is null and size(kinds) > 1").select("key", "kinds")
     levels = undated.join(group_levels(transitions(values), undated), "kinds").select("key", "kind", "level")
     ranked = base.join(ranks, "s", "left").withColumn("kind", value_class(F.col("url"))).join(levels, ["key", "kind"], "left")
