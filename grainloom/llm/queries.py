@@ -85,7 +85,7 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p7_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return markup.markup_kinds(marked_texts(spark, sf_dir), keys=("tab", "row_id", "part"))[1]
+    return markup.wrapper_expressions(markup.markup_kinds(marked_texts(spark, sf_dir), keys=("tab", "row_id", "part"))[1])
 
 
 def p7_clean(spark: SparkSession, sf_dir: str) -> DataFrame:

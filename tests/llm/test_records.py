@@ -5,7 +5,7 @@ import datetime as dt
 import numpy as np
 import pytest
 
-from grainloom.llm import markup, mixing, pairs, survivor
+from grainloom.llm import markup, mixing, pairs, survivor, wrappers
 
 EN = "Let us consider the set of all numbers that satisfy this condition and show that the sum of the first terms is odd for every choice."
 DE = "Wir betrachten die Menge aller Zahlen, die diese Bedingung erfüllen, und zeigen, dass die Summe der ersten Glieder für jede Wahl ungerade ist."
@@ -164,12 +164,42 @@ def test_markup_kinds(spark):
     assert markup.markup_kinds(df.limit(0), keys=("id",))[0].count() == 0
 
 
-def test_wrapper_accepts_its_streams():
-    streams = ["html:<p T html:</p", "html:<p T html:</p html:<p T html:</p html:<ul T html:</ul", "html:<h2 T html:</h2 html:<p T html:</p"]
-    folded = [markup.write(markup.fold(s.split())) for s in streams]
-    wrapper = markup.infer(folded)
-    for s, f in zip(streams, folded):
-        assert set(markup.matched(wrapper, f)) == {t for t in s.split() if t != "T"}
+def test_wrapper_is_the_least_expression_of_its_streams():
+    streams = ["html:<p T html:</p", "html:<p T html:</p html:<p T html:</p html:<ul T html:</ul", "html:<p T html:</p html:<ul T html:</ul"]
+    wrapper = []
+    for s in streams:
+        wrapper = wrappers.align(wrapper, wrappers.load(wrappers.dump(wrappers.fold(s.split()))))
+    assert wrappers.expression(wrapper, 3).endswith("(html:<ul)? (T)? (html:</ul)?") and "(html:<p T html:</p)*" in wrappers.expression(wrapper, 3)
+    assert wrappers.fold(["?markdown:1.", "T", "markdown:**", "T", "?markdown:1.", "T"])[0] == (("?markdown:1.",), True)
+    long = [(("t%d" % k,), False, 1) for k in range(2000)]
+    assert len(wrappers.align(long[:1000], long[1000:])) == wrappers.LONGEST
+
+
+PAGES = [(i, "shop" if i < 40 else "forum", t) for i, t in enumerate(
+    [f'<answer id="{k}">The number {k} is odd.</answer>\n3. Then it holds for {k}.' for k in range(38)]
+    + ["The number is even.", "We count <answer> only once."]
+    + [f"We have a plain text about {k}." for k in range(36)]
+    + ["For <k> in the set it holds.", "3. That is all.", "1. First we see it.\nSo it goes.\n2. Then we **see** it.", None]
+)]
+
+
+@pytest.mark.parametrize("fan_in", [64, 2])
+def test_wrapper_decides_what_is_markup(spark, fan_in, monkeypatch):
+    """The same tokens: at a fixed place of the host's texts they are markup, elsewhere they are text."""
+    infer = wrappers.infer
+    monkeypatch.setattr(wrappers, "infer", lambda s: infer(s, fan_in=fan_in))
+    df = spark.createDataFrame(PAGES, "id int, host string, text string")
+    kinds, found = markup.markup_kinds(df, keys=("id",))
+    got = {r.id: set(r.kinds) for r in kinds.collect()}
+    assert all(got[i] == {"html", "markdown"} for i in range(38))
+    assert 38 not in got and 76 not in got and 77 not in got and got[78] == {"markdown"}
+    texts = {r.id: r.text for r in markup.clean_texts(df, keys=("id",)).collect()}
+    assert texts[5] == "The number 5 is odd.\n- Then it holds for 5." and texts[76] == "For <k> in the set it holds." and texts[77] == "3. That is all."
+    assert texts[78] == "- First we see it.\nSo it goes.\n- Then we see it." and texts[79] is None and len(texts) == len(PAGES)
+    # without the wrapper's word these tokens are text
+    assert markup.clean(PAGES[5][2]) == PAGES[5][2]
+    shop = next(r.wrapper for r in markup.wrapper_expressions(found).collect() if r.host == "shop" and r.cluster == "")
+    assert "?html:<answer" in shop and "?markdown:1." in shop
 
 
 def test_clean_keeps_structure(spark):
