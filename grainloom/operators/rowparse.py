@@ -13,6 +13,7 @@ from __future__ import annotations
 import heapq
 import json
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from json.decoder import scanstring
 
@@ -32,24 +33,41 @@ _SPACE = re.compile(r"[ \t\r\n]*")
 SHAPE_EDITS = frozenset({"close", "drop rest", "insert delimiter", "delete delimiter"})
 
 
-def json_edits(line: str) -> list[tuple[str, int]] | None:
+#: A parse that is so many edits dearer than one that has read further is given up.
+LEAD = 6
+
+
+def json_edits(line: str, lead: int = LEAD) -> list[tuple[str, int]] | None:
     """The cheapest edits that make the line one JSON object, as (edit, position); None if it is no object at all.
 
     Dynamic programming over (position, mode, open brackets), cheapest first. Modes: ``v`` a value is due,
     ``k`` a key or the end of an object, ``K`` a key, ``:`` a colon, ``,`` a comma or a closing bracket,
-    ``s`` and ``t`` within a string that is a value or a key, ``.`` the object is complete.
+    ``s`` and ``t`` within a string that is a value or a key, ``.`` the object is complete. A few edits lead
+    from any mode to any other, so a state that lies behind one cheaper by ``lead`` edits is dropped: the work
+    is in proportion to the length of the line, however many edits it needs.
     """
     start = _SPACE.match(line).end()
     if line[start : start + 1] != "{":
         return None
     end = len(line)
-    heap: list[tuple] = [(0, -start, 0, start, "v", "")]
-    parents: dict[tuple, tuple | None] = {(start, "v", ""): None}
-    best = {(start, "v", ""): 0}
+    pieces = [m.start() for m in _PIECE.finditer(line)]
+    # open brackets are numbered: each stack is a bracket on another stack
+    under: list[tuple[int, str]] = [(-1, "")]
+    numbers: dict[tuple[int, str], int] = {}
+    heap: list[tuple] = [(0, -start, 0, start, "v", 0)]
+    parents: dict[tuple, tuple | None] = {(start, "v", 0): None}
+    best = {(start, "v", 0): 0}
     done: set[tuple] = set()
+    farthest: list[int] = []  # by cost, the farthest place reached at it or cheaper
     serial = 0
 
-    def reach(here: tuple, cost: int, pos: int, mode: str, stack: str, edit: tuple[str, int] | None = None) -> None:
+    def push(stack: int, bracket: str) -> int:
+        if (stack, bracket) not in numbers:
+            numbers[stack, bracket] = len(under)
+            under.append((stack, bracket))
+        return numbers[stack, bracket]
+
+    def reach(here: tuple, cost: int, pos: int, mode: str, stack: int, edit: tuple[str, int] | None = None) -> None:
         nonlocal serial
         state = (pos, mode, stack)
         if cost < best.get(state, 1 << 30):
@@ -61,9 +79,12 @@ def json_edits(line: str) -> list[tuple[str, int]] | None:
     while heap:
         cost, _, _, pos, mode, stack = heapq.heappop(heap)
         here = (pos, mode, stack)
-        if here in done:
+        if here in done or cost >= lead and pos < farthest[cost - lead]:
             continue
         done.add(here)
+        while len(farthest) <= cost:
+            farthest.append(farthest[-1] if farthest else 0)
+        farthest[cost] = max(farthest[cost], pos)
         if mode in "st":
             after = "," if mode == "s" else ":"
             match = _STRING_END.search(line, pos)
@@ -86,8 +107,8 @@ def json_edits(line: str) -> list[tuple[str, int]] | None:
             else:
                 reach(here, cost, at + 1, mode, stack)
                 reach(here, cost + 1, at, after, stack, ("insert quote", at))
-            if "'" in line[pos:at]:
-                at = line.index("'", pos)
+            at = line.find("'", pos, at)
+            if at >= 0:
                 reach(here, cost + 1, at + 1, after, stack, ("replace quote", at))
             continue
         pos = _SPACE.match(line, pos).end()
@@ -101,11 +122,11 @@ def json_edits(line: str) -> list[tuple[str, int]] | None:
                         edits.append(edit)
                 return edits[::-1]
             # what follows a faultless object goes at once; else piece by piece, or it would pay to end an object early
-            reach(here, cost + (max(1, len(_PIECE.findall(line, pos))) if cost else 1), end, ".", "", ("drop rest", pos))
+            reach(here, cost + (max(1, len(pieces) - bisect_left(pieces, pos)) if cost else 1), end, ".", 0, ("drop rest", pos))
             continue
         if pos == end:
             if mode in ",k":
-                left = stack[:-1]
+                left = under[stack][0]
                 reach(here, cost + 1, end, "," if left else ".", left, ("close", end))
             elif mode == ":":
                 reach(here, cost + 1, end, "v", stack, ("close", end))
@@ -116,9 +137,9 @@ def json_edits(line: str) -> list[tuple[str, int]] | None:
             continue
         if mode == "v":
             if ch == "{":
-                reach(here, cost, pos + 1, "k", stack + "{")
+                reach(here, cost, pos + 1, "k", push(stack, "{"))
             elif ch == "[":
-                reach(here, cost, pos + 1, "a", stack + "[")
+                reach(here, cost, pos + 1, "a", push(stack, "["))
             elif ch == '"':
                 reach(here, cost, pos + 1, "s", stack)
             else:
@@ -133,14 +154,14 @@ def json_edits(line: str) -> list[tuple[str, int]] | None:
                     reach(here, cost + 1, pos, "s", stack, ("insert quote", pos))
         elif mode == "a":
             if ch == "]":
-                reach(here, cost, pos + 1, "," if stack[:-1] else ".", stack[:-1])
+                reach(here, cost, pos + 1, "," if under[stack][0] else ".", under[stack][0])
             else:
                 reach(here, cost, pos, "v", stack)
         elif mode in "kK":
             if ch == '"':
                 reach(here, cost, pos + 1, "t", stack)
             elif ch == "}":
-                left = stack[:-1]
+                left = under[stack][0]
                 extra = 0 if mode == "k" else 1
                 reach(here, cost + extra, pos + 1, "," if left else ".", left, ("delete delimiter", pos) if extra else None)
             elif ch == "'":
@@ -159,15 +180,15 @@ def json_edits(line: str) -> list[tuple[str, int]] | None:
                 reach(here, cost + 1, pos, "v", stack, ("insert delimiter", pos))
         else:  # a comma or a closing bracket
             if ch == ",":
-                reach(here, cost, pos + 1, "K" if stack[-1] == "{" else "v", stack)
-            elif ch == ("}" if stack[-1] == "{" else "]"):
-                reach(here, cost, pos + 1, "," if stack[:-1] else ".", stack[:-1])
+                reach(here, cost, pos + 1, "K" if under[stack][1] == "{" else "v", stack)
+            elif ch == ("}" if under[stack][1] == "{" else "]"):
+                reach(here, cost, pos + 1, "," if under[stack][0] else ".", under[stack][0])
             elif ch == '"':
                 reach(here, cost + 1, pos + 1, ",", stack, ("delete quote", pos))
-                reach(here, cost + 1, pos, "K" if stack[-1] == "{" else "v", stack, ("insert delimiter", pos))
+                reach(here, cost + 1, pos, "K" if under[stack][1] == "{" else "v", stack, ("insert delimiter", pos))
             else:
                 reach(here, cost + 1, pos + 1, ",", stack, ("delete delimiter", pos))
-                reach(here, cost + 1, pos, "," if stack[:-1] else ".", stack[:-1], ("insert delimiter", pos))
+                reach(here, cost + 1, pos, "," if under[stack][0] else ".", under[stack][0], ("insert delimiter", pos))
     return None
 
 
@@ -252,45 +273,61 @@ def csv_edits(line: str, n_fields: int = 4) -> tuple[list[tuple[str, int]], list
     Quotes come first: the line is cut into fields at the least number of quote edits (ties: the fields
     nearest to ``n_fields``), and only then delimiters are inserted or deleted.
     """
-    # mode: f field begins, u plain, q quoted, e a quote within quotes has been read; value: cost, edits, fields
-    states: dict[tuple[str, int], tuple[int, tuple, tuple]] = {("f", 0): (0, (), ("",))}
+    # mode: f field begins, u plain, q quoted, e a quote within quotes has been read; value: cost, number of
+    # fields, edits and pieces, the latter two as chains (one before, item), so that no step copies them
+    states: dict[tuple[str, int], tuple] = {("f", 0): (0, 1, None, None)}
 
-    def offer(to: dict, key: tuple[str, int], cost: int, edits: tuple, fields: tuple) -> None:
+    def offer(to: dict, key: tuple[str, int], cost: int, count: int, edits: tuple | None, pieces: tuple | None) -> None:
         if key not in to or cost < to[key][0]:
-            to[key] = (cost, edits, fields)
+            to[key] = (cost, count, edits, pieces)
 
     for m in re.finditer(r'[",]|[^",]+', line):
         piece, at = m[0], m.start()
-        after: dict[tuple[str, int], tuple[int, tuple, tuple]] = {}
-        for (mode, n), (cost, edits, fields) in states.items():
-            body, last = fields[:-1], fields[-1]
-            more = (*body, last + piece)
+        after: dict[tuple[str, int], tuple] = {}
+        for (mode, n), (cost, count, edits, pieces) in states.items():
             if piece == ",":
                 if mode in "fue":
-                    offer(after, ("f", min(n + 1, n_fields)), cost, edits, (*fields, ""))
+                    offer(after, ("f", min(n + 1, n_fields)), cost, count + 1, edits, (pieces, None))
                 if mode == "q":
-                    offer(after, ("q", n), cost, edits, more)
+                    offer(after, ("q", n), cost, count, edits, (pieces, ","))
             elif piece == '"':
                 if mode == "f":
-                    offer(after, ("q", n), cost, edits, fields)
+                    offer(after, ("q", n), cost, count, edits, pieces)
                 elif mode == "q":
-                    offer(after, ("e", n), cost, edits, fields)
-                    offer(after, ("q", n), cost + 1, (*edits, ("double quote", at)), more)
+                    offer(after, ("e", n), cost, count, edits, pieces)
+                    offer(after, ("q", n), cost + 1, count, (edits, ("double quote", at)), (pieces, '"'))
                 elif mode == "e":
-                    offer(after, ("q", n), cost, edits, more)
+                    offer(after, ("q", n), cost, count, edits, (pieces, '"'))
                 if mode in "fu":
-                    offer(after, ("u", n), cost + 1, (*edits, ("delete quote", at)), fields)
+                    offer(after, ("u", n), cost + 1, count, (edits, ("delete quote", at)), pieces)
+            elif mode == "e":
+                offer(after, ("q", n), cost + 1, count, (edits, ("double quote", at - 1)), (pieces, '"' + piece))
             else:
-                offer(after, ("u" if mode in "fu" else "q", n), cost + (mode == "e"), (*edits, ("double quote", at - 1)) if mode == "e" else edits, (*body, last + '"' + piece) if mode == "e" else more)
+                offer(after, ("u" if mode in "fu" else "q", n), cost, count, edits, (pieces, piece))
         states = after
+
+    def chain(node: tuple | None) -> list:
+        out = []
+        while node is not None:
+            node, item = node
+            out.append(item)
+        return out[::-1]
+
     ends = []
-    for (mode, _), (cost, edits, fields) in states.items():
+    for (mode, _), (cost, count, edits, pieces) in states.items():
         if mode == "q":
-            cost, edits = cost + 1, (*edits, ("insert quote", len(line)))
-        ends.append((cost, abs(len(fields) - n_fields), edits, fields))
-    cost, off, edits, fields = min(ends)
+            cost, edits = cost + 1, (edits, ("insert quote", len(line)))
+        ends.append((cost, abs(count - n_fields), edits, pieces))
+    least = min(e[:2] for e in ends)
+    edits, pieces = min(((chain(e), p) for c, o, e, p in ends if (c, o) == least), key=lambda x: x[0])
+    fields: list[list[str]] = [[]]
+    for piece in chain(pieces):
+        if piece is None:
+            fields.append([])
+        else:
+            fields[-1].append(piece)
     word = "insert delimiter" if len(fields) < n_fields else "delete delimiter"
-    return [*edits, *[(word, len(line))] * off], list(fields)
+    return [*edits, *[(word, len(line))] * least[1]], ["".join(f) for f in fields]
 
 
 def valid_index(value: object) -> bool:

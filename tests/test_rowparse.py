@@ -2,6 +2,7 @@
 
 import json
 import random
+import time
 
 import pytest
 
@@ -88,3 +89,23 @@ def test_parse_rows(spark):
     assert by[900].status == by[901].status == "blank" and by[902].status == by[903].status == "loaded"
     assert by[0]["index"] == "7" and by[0].messages[0].content == 'a "b" {c}, [d]: é' and by[0].source == "s"
     assert parse_rows(df.limit(0)).count() == 0
+
+
+def test_bounded_search_finds_what_the_whole_one_finds():
+    rng = random.Random(11)
+    for _ in range(400):
+        line = list(GOOD)
+        for _ in range(rng.randint(1, 6)):
+            i = rng.randrange(len(line))
+            line[i : i + rng.randint(0, 1)] = rng.choice('"\\,:{}[] x')
+        line = "".join(line)
+        assert json_edits(line) == json_edits(line, lead=10**6)
+
+
+def test_work_grows_with_the_length_of_the_line():
+    words = 'word "x and y, it is so ' * 8000
+    began = time.perf_counter()
+    assert len(json_edits('{"index": 1, "source": "a", "messages": [{"role": "user", "content": "' + words + '"}]}')) == 8000
+    assert parse_line("csv", f'1,s,"{words}",b')[0] == "quoting"
+    assert time.perf_counter() - began < 20  # a tenth of it where the machine is idle; minutes if it were quadratic
+    assert json_edits('{"a": ' + "[" * 50_000 + " x") is not None
