@@ -40,6 +40,24 @@ REFUSALS = (
     "я не могу помочь с этой задачей", "придётся отказаться от ответа", "я не имею возможности дать решение", "я не могу ответить на этот вопрос", "вынужден отказаться", "я не в состоянии решить", "мне невозможно дать решение", "я не могу решить эту задачу", "это выходит за рамки того что я могу",
 )
 
+#: How a writer declines, and the verbs of what is declined; any of the first, then any of the second, within a few words.
+DECLINES = (
+    "i can't", "i cannot", "i can not", "i won't", "i will not", "i'm not able to", "i am not able to", "i'm unable to", "i am unable to", "i must decline to", "i have to decline to", "i decline to", "i refuse to", "i'd rather not", "i would rather not",
+    "i prefer not to", "i'd prefer not to", "i would prefer not to", "i don't want to", "i do not want to", "i do not wish to", "i'm not comfortable", "i am not comfortable", "i don't feel comfortable", "i do not feel comfortable", "i'm not allowed to", "i am not allowed to",
+    "i'm not permitted to", "i am not permitted to", "i'm not in a position to", "i am not in a position to", "it is impossible for me to", "it is not possible for me to", "unfortunately i can't", "sorry but i can't",
+    "no puedo", "prefiero no", "preferiría no", "no quiero", "no deseo", "no voy a", "me niego a", "no me es posible", "me es imposible", "lamento no poder", "no estoy en condiciones de", "no soy capaz de", "no se me permite", "debo negarme a",
+    "ich kann nicht", "ich darf nicht", "ich möchte nicht", "ich will nicht", "ich werde nicht", "ich möchte lieber nicht", "ich kann ihnen nicht", "ich kann dir nicht", "ich bin nicht in der lage", "ich sehe mich nicht in der lage", "es ist mir nicht möglich", "es ist mir unmöglich", "ich kann leider nicht", "ich weigere mich",
+    "je ne peux pas", "je ne peux", "je ne saurais", "je préfère ne pas", "je préférerais ne pas", "je ne souhaite pas", "je ne veux pas", "je refuse de", "je me refuse à", "il m'est impossible de", "il ne m'est pas possible de", "je ne suis pas en mesure de", "je ne suis pas capable de", "je ne suis pas autorisé à",
+    "я не могу", "я не буду", "я не хочу", "я не стану", "я отказываюсь", "я предпочитаю не", "предпочту не", "я не в состоянии", "я не вправе", "мне нельзя", "мне не разрешено", "к сожалению не могу", "у меня нет возможности",
+)
+ACTS = frozenset(
+    "answer answering help helping assist assisting solve solving provide providing give giving work working comment commenting respond responding discuss discussing complete completing offer offering address addressing engage continue "
+    "contestar contestarla responder responderla ayudar ayudarle ayudarte resolver resolverlo dar darle proporcionar ofrecer comentar tratar atender "
+    "beantworten antworten helfen lösen geben bearbeiten liefern kommentieren besprechen behilflich weiterhelfen "
+    "répondre aider résoudre donner fournir traiter proposer commenter discuter "
+    "ответить отвечать помочь помогать решить решать дать давать предоставить комментировать обсуждать рассматривать".split()
+)
+
 _WORD = re.compile(r"\w+")
 _LETTERS = re.compile(r"[^\W\d_]+")
 _FORMULA = re.compile(r"\$\$?[^$]*\$\$?|\\\w+\{[^{}]*\}")
@@ -78,42 +96,59 @@ def shingles(words: list[str], n: int) -> set[tuple[str, ...]]:
 
 
 def is_copy(question: list[str], answer: list[str], *, n: int = 5, containment: float = 0.8, share: float = 0.9) -> bool:
-    """The answer is only the question again: shingles of both contain each other, and the words align."""
-    if not question or not answer or not 0.5 < len(answer) / len(question) < 2:
+    """The answer is only the question again, once or several times: shingles of both contain each other, and the words align."""
+    if not question or 2 * len(answer) <= len(question):
         return False
-    q, a = shingles(question, n), shingles(answer, n)
+    times = max(1, round(len(answer) / len(question)))
+    q, a = shingles(question * min(times, 2), n), shingles(answer, n)
     both = len(q & a)
-    return both >= containment * len(a) and both >= containment * len(q) and common(question, answer) >= share * max(len(question), len(answer))
+    if both < containment * len(a) or both < containment * len(q):
+        return False
+    return common(question * times, answer) >= share * max(len(question) * times, len(answer))
 
 
-_TEMPLATES = [(t, set(t)) for t in (_WORD.findall(r) for r in REFUSALS)]
+_ACT = "<act>"
+#: Templates with the share of their words that must align, and how many other words may stand among them.
+_TEMPLATES = [(t, set(t), 0.9, 2) for t in ([_ACT if w in ACTS else w for w in _WORD.findall(r)] for r in REFUSALS)] + [(t, set(t), 1.0, 4) for t in ([*_WORD.findall(d), _ACT] for d in DECLINES)]
 #: An equation outside of formulas, or a result that is announced.
 _RESULT = re.compile(rf"\\boxed|\w\s*[=≤≥≡]\s*[-\w]|(?:^|(?<=[.!?\n]))[\s>*_#]*(?:{'|'.join(HEADINGS)})\s*[*_]*:[*_]*[^\S\n]*\S", re.I)
 
 
-def derives(question: str, answer: str) -> bool:
-    """The answer works something out: it has a formula that the question has not, an equation or a result."""
+def own_formulas(question: str, answer: str) -> int:
+    """How many formulas of the answer the question has not."""
     asked = "".join(question.split())
-    formulas = ("".join(f.split()).strip("$.,;") for f in _FORMULA.findall(answer))
-    return any(f not in asked for f in formulas) or bool(_RESULT.search(_FORMULA.sub(" ", answer.replace("\\boxed", "\\boxed "))))
+    return sum("".join(f.split()).strip("$.,;") not in asked for f in _FORMULA.findall(answer))
+
+
+def derives(question: str, answer: str) -> bool:
+    """The text works something out: it has a formula that the question has not, an equation or a result."""
+    return bool(own_formulas(question, answer)) or states_result(answer)
+
+
+def states_result(answer: str) -> bool:
+    return bool(_RESULT.search(_FORMULA.sub(" ", answer.replace("\\boxed", "\\boxed "))))
 
 
-def is_refusal(question: list[str], answer: str, asked: str = "", *, share: float = 0.9, other_words: int = 60) -> bool:
-    """A template aligns with a place of the answer, which is short besides the question or derives nothing.
+def is_refusal(question: list[str], answer: str, asked: str = "") -> bool:
+    """A template aligns with a place of the answer, and the answer works nothing out.
 
-    ``question`` are the words of the question, ``asked`` is its text. An answer of more than ``other_words``
-    other words, or with a formula at its end, is a refusal if it has no formula that is not quoted from the
-    question, no equation and no result.
+    ``question`` are the words of the question, ``asked`` is its text. From the aligned place on, nothing may be
+    derived beyond what is quoted from the question; before it the problem may be told again, in other words
+    too, if that takes no more words than the question and states no result.
     """
-    words = _WORD.findall(answer.casefold().replace("’", "'"))
-    if question and common(question, words[: len(question) + 5]) >= 0.9 * len(question):
-        words = words[len(question) :]
-    here = set(words)
-    for template, parts in _TEMPLATES:
+    found = list(_WORD.finditer(answer.casefold().replace("’", "'")))
+    words, at = [_ACT if m[0] in ACTS else m[0] for m in found], 0
+    if question and common([_ACT if w in ACTS else w for w in question], words[: len(question) + 5]) >= 0.9 * len(question):
+        at = len(question)
+    here = set(words[at:])
+    for template, parts, share, gaps in _TEMPLATES:
         if len(parts & here) >= share * len(parts):
-            for i in range(max(1, len(words) - len(template) + 1)):
-                if common(template, words[i : i + len(template) + 2]) >= share * len(template):
-                    return not (len(words) > other_words or "$" in answer[-45:]) or not derives(asked, answer)
+            for i in (k for k in range(at, len(words)) if words[k] in parts):
+                if common(template, words[i : i + len(template) + gaps]) >= share * len(template):
+                    place = min(found[i].start(), len(answer))  # case folding may lengthen a text by a few characters
+                    before = answer[:place]
+                    told = (i - at <= len(question) or not own_formulas(asked, before)) and not states_result(before)
+                    return told and not derives(asked, answer[place:])
     return False
 
 
@@ -138,14 +173,15 @@ class Languages:
         known = [w for w in words if any(w in logs for logs, _ in self.logs.values())]
         return {lang: sum(logs.get(w, rest) for w in known) / max(1, len(known)) for lang, (logs, rest) in self.logs.items()}
 
-    def differ(self, question: str, answer: str, *, least_words: int = 4, margin: float = 0.7) -> bool:
-        """The answer is in another language than the question, by a margin in log likelihood a word on both sides."""
+    def differ(self, question: str, answer: str, *, margin: float = 0.7, evidence: float = 2.8) -> bool:
+        """The answer is in another language than the question: by a margin in log likelihood a word, and by the evidence of all words, on both sides."""
         q, a = self.words(question), self.words(answer)
-        if len(q) < least_words or len(a) < least_words or len(self.logs) < 2:
+        if not q or not a or len(self.logs) < 2:
             return False
         sq, sa = self.scores(q), self.scores(a)
         lq, la = max(sq, key=sq.get), max(sa, key=sa.get)
-        return lq != la and sq[lq] - sq[la] > margin and sa[la] - sa[lq] > margin
+        least = lambda words: max(margin, evidence / len(words))
+        return lq != la and sq[lq] - sq[la] > least(q) and sa[la] - sa[lq] > least(a)
 
 
 def labelled_sample(documents: DataFrame, *, text: str = "text", lang: str = "lang", per_language: int = 200) -> list[tuple[str, str]]:

@@ -38,6 +38,27 @@ def test_broken_pairs(spark):
     assert "language" not in {r.defect for r in pairs.broken_pairs(cot(spark, rows), labelled(spark, [])).collect()}
 
 
+@pytest.mark.parametrize("answer", [
+    "I'd rather not answer that.", "I do not feel comfortable answering this question.", "Lo siento, prefiero no contestar.", "Ich möchte darauf lieber nicht antworten.", "Je préfère ne pas répondre à cela.", "Я не хочу отвечать на этот вопрос.",
+    "As an assistant I am not able to help with that.", "A point lies at $x+y$. A circle of radius $r_4$ is given. Sorry, but I will not be giving an answer here.",
+])
+def test_ordinary_refusals(answer):
+    assert pairs.is_refusal("what is the smallest distance of the given point from the circle".split(), answer)
+
+
+@pytest.mark.parametrize("answer", [
+    "I can't give a smaller bound, but $n=5$ works. Answer: 5", "We cannot solve it by hand, so x = 4.", "The sum $a+b$ is odd. Then $c$ is even. Hence $d$ is odd. I cannot give a shorter proof.", "Answer: 7. I will not give a second proof.", "It is impossible for the sum to be even.",
+])
+def test_answers_that_decline_nothing(answer):
+    assert not pairs.is_refusal("is the sum odd".split(), answer)
+
+
+def test_copies_of_the_question():
+    q = "On a board of 20 rows some cells are marked so that no two of them touch in any row or column of the board . What is the smallest number of marked cells in a row".lower().split()
+    assert pairs.is_copy(q, q) and pairs.is_copy(q, q + q) and pairs.is_copy(q, q + ["solution"] + q) and pairs.is_copy(q, q * 3)
+    assert not pairs.is_copy(q, q[:8]) and not pairs.is_copy(q, q + ["we"] * 12) and not pairs.is_copy([], q) and not pairs.is_copy(q, []) and not pairs.is_copy(q, q[::-1])
+
+
 def test_long_refusals(spark):
     reasons = " ".join(["The statement leaves open what is counted, and every reading of it leads somewhere else."] * 6)
     refuse = "I am sorry, but I cannot help with this problem."
