@@ -43,7 +43,7 @@ def test_broken_pairs(spark):
     "As an assistant I am not able to help with that.", "A point lies at $x+y$. A circle of radius $r_4$ is given. Sorry, but I will not be giving an answer here.",
 ])
 def test_ordinary_refusals(answer):
-    assert pairs.is_refusal("what is the smallest distance of the given point from the circle".split(), answer)
+    assert pairs.is_refusal("what is the smallest distance of the given point from the circle that goes through the two other points".split(), answer)
 
 
 @pytest.mark.parametrize("answer", [
