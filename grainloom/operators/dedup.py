@@ -30,7 +30,7 @@ def exclude_by_key(rows: DataFrame, others: DataFrame, key: Column) -> DataFrame
 def merge_longest(rows: DataFrame, problem: Column, solution: Column, order: str) -> DataFrame:
     """One row per problem with the longest solution (earliest on ties); ``first_order`` is the output position.
 
-    The shuffle carries the lengths and hashes; grouping is by hash and text.
+    One partial aggregate and one shuffle, which carries a text for each problem and task.
     """
     keyed = rows.select(problem.alias("problem"), solution.alias("solution"), F.col(order).alias("ord"))
     best = F.min(F.struct((-F.length("solution")).alias("n"), "ord", "solution")).alias("best")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import html
 import re
 from html.parser import HTMLParser
 
@@ -23,7 +22,10 @@ BOXES = (
     r"\\begin\{mdframed\}(.*?)\\end\{mdframed\}", r"\\begin\{problem\}(.*?)\\end\{problem\}", r"\\begin\{boxedproblem\}(.*?)\\end\{boxedproblem\}",
 )
 SOLUTION_END = r"(?i)\\(?:pagebreak|newpage|clearpage)|\\subsection\{|\\section\{|\\end\{document\}"
+#: The headings of a wiki page that begin its parts, and what ends them.
 WIKI_SPLIT = r"\n(?=(?:Problem|Solution\s*\d*|Alternate [Ss]olution|[Ss]olution \d+)\s*\n)"
+WIKI_PROBLEM, WIKI_SOLUTION = r"(?i)^Problem\s*$", r"(?i)^(?:Solution|Alternate solution)"
+WIKI_HALVES, WIKI_END = r"\n(?=Solution)", r"\nSee [Aa]lso\b|\n=="
 
 
 def clean_tex(c: Column) -> Column:
@@ -48,14 +50,14 @@ def wiki_pairs(pages: DataFrame, *, text: str = "text", url: str = "url", least:
     sections = F.transform(F.split(body, WIKI_SPLIT), strip)
     head = lambda s: F.split(s, "\n", 2)[0]
     rest = lambda s: F.coalesce(strip(F.get(F.split(s, "\n", 2), F.lit(1))), F.lit(""))
-    problems = F.transform(F.filter("sections", lambda s: head(s).rlike(r"(?i)^Problem\s*$")), rest)
-    solutions = F.filter(F.transform(F.filter("sections", lambda s: head(s).rlike(r"(?i)^(?:Solution|Alternate solution)")), rest), lambda s: F.length(s) > least)
-    halves = F.split("body", r"\n(?=Solution)", 2)
+    problems = F.transform(F.filter("sections", lambda s: head(s).rlike(WIKI_PROBLEM)), rest)
+    solutions = F.filter(F.transform(F.filter("sections", lambda s: head(s).rlike(WIKI_SOLUTION)), rest), lambda s: F.length(s) > least)
+    halves = F.split("body", WIKI_HALVES, 2)
     rows = pages.select(F.col(url).alias("url"), body.alias("body"), sections.alias("sections"))
     rows = rows.withColumn("p", F.coalesce(F.try_element_at(problems, F.lit(-1)), F.lit(""))).withColumn("s", solutions)
     split = (F.col("p") == "") & (F.size(halves) == 2)
     rows = rows.select("url", F.when(split, strip(halves[0])).otherwise(F.col("p")).alias("problem"), F.when(split, F.array(strip(F.get(halves, F.lit(1))))).otherwise(F.col("s")).alias("s"))
-    cut = F.filter(F.transform("s", lambda s: strip(F.split(s, r"\nSee [Aa]lso\b|\n==", 2)[0])), lambda s: F.length(s) > least)
+    cut = F.filter(F.transform("s", lambda s: strip(F.split(s, WIKI_END, 2)[0])), lambda s: F.length(s) > least)
     return rows.select("url", "problem", cut.alias("solutions")).filter((F.col("problem") != "") & (F.size("solutions") > 0))
 
 
@@ -118,8 +120,84 @@ def post_text(post: str | None) -> str:
     return re.sub(r"\n{3,}", "\n\n", "\n".join(p for p in parser.out if p)).strip()
 
 
+class _Links(HTMLParser):
+    def __init__(self) -> None:
+        super().__init__()
+        self.found: list[str] = []
+
+    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if tag == "a" and (href := dict(attrs).get("href")) is not None:
+            self.found.append(href)
+
+    handle_startendtag = handle_starttag
+
+
 def links(page: str | None) -> list[str]:
-    return [html.unescape(h) for h in re.findall(r"<a\b[^>]*?\bhref\s*=\s*[\"']([^\"']*)[\"']", page or "", re.I)]
+    parser = _Links()
+    parser.feed(page or "")
+    return parser.found
+
+
+#: The elements that hold the posts of a thread, as (element or None for any, class).
+POSTS = (("div", "cmty-post-body"), ("div", "post-body"), (None, "post_text"))
+_VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
+
+
+class _Posts(HTMLParser):
+    """The inner markup of each element of POSTS, in order; one within another is a post of its own as well."""
+
+    def __init__(self) -> None:
+        super().__init__(convert_charrefs=False)
+        self.posts: list[list[str]] = []
+        self.open: list[tuple[int, int]] = []  # post, depth of its element
+        self.depth = 0
+
+    def put(self, text: str) -> None:
+        for post, _ in self.open:
+            self.posts[post].append(text)
+
+    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        self.put(self.get_starttag_text() or "")
+        if tag in _VOID:
+            return
+        self.depth += 1
+        classes = (dict(attrs).get("class") or "").split()
+        if any(name in classes and element in (None, tag) for element, name in POSTS):
+            self.posts.append([])
+            self.open.append((len(self.posts) - 1, self.depth))
+
+    def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        self.put(self.get_starttag_text() or "")
+
+    def handle_endtag(self, tag: str) -> None:
+        if tag in _VOID:
+            return
+        self.open = [(p, d) for p, d in self.open if d < self.depth]
+        self.depth -= 1
+        self.put(f"</{tag}>")
+
+    def handle_data(self, data: str) -> None:
+        self.put(data)
+
+    def handle_entityref(self, name: str) -> None:
+        self.put(f"&{name};")
+
+    def handle_charref(self, name: str) -> None:
+        self.put(f"&#{name};")
+
+
+def thread_posts(page: str | None) -> list[str]:
+    """The texts of a thread's posts, empty ones too, so that the first stays the first."""
+    parser = _Posts()
+    parser.feed(page or "")
+    return [post_text("".join(p)) for p in parser.posts]
+
+
+def thread_pairs(pages: DataFrame, *, url: str = "url", page: str = "page") -> DataFrame:
+    """``url, problem, solutions`` of thread pages: the first post, and the later ones that look like solutions."""
+    posts = F.pandas_udf(lambda s: s.map(thread_posts), "array<string>")
+    rows = pages.select(F.col(url).alias("url"), posts(F.col(page)).alias("posts"))
+    return rows.select("url", thread_pair(F.col("posts")).alias("pair")).filter("pair is not null").select("url", "pair.*")
 
 
 def page_texts(pages: DataFrame, column: str = "html") -> DataFrame:
@@ -131,5 +209,3 @@ def thread_pair(posts: Column) -> Column:
     """Problem (the first post) and the posts that look like solutions; null if either is missing."""
     solution = F.filter(F.slice(posts, F.lit(2), F.greatest(F.size(posts), F.lit(0))), lambda p: (F.length(p) > 100) & (F.contains(p, F.lit("$")) | F.lower(p).rlike("proof|solution")))
     return F.when((F.get(posts, F.lit(0)) != "") & (F.size(solution) > 0), F.struct(F.get(posts, F.lit(0)).alias("problem"), solution.alias("solutions")))
-
-

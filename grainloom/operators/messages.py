@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from grainloom.functions.text import WS, head, rstrip, strip
@@ -86,11 +88,15 @@ def without_label(c: Column, label: str) -> Column:
     return strip(F.regexp_replace(c, rf"(?iu)\A{label}:[{WS}]*", ""))
 
 
+#: The marks of the second model family, as they stand in a text.
+NATIVE = ("[gMASK]<sop>", "<|system|>\n", "<|user|>\n", "\n<|assistant|>\nSolution:\n", "<|endoftext|>")
+
+
 def native_template(text: Column) -> Column:
     """A rendered text in the marks of a second model family."""
     system, user, assistant = (chatml_part(text, r) for r in ("system", "user", "assistant"))
-    head_ = F.when(system != "", F.concat(F.lit("<|system|>\n"), system, F.lit("\n"))).otherwise("")
-    return F.concat(F.lit("[gMASK]<sop>"), head_, F.lit("<|user|>\n"), user, F.lit("\n<|assistant|>\nSolution:\n"), assistant, F.lit("<|endoftext|>"))
+    begin, of_system, of_user, of_assistant, end = map(F.lit, NATIVE)
+    return F.concat(begin, F.when(system != "", F.concat(of_system, system, F.lit("\n"))).otherwise(""), of_user, user, of_assistant, assistant, end)
 
 
 def completion(partial: Column, response: Column) -> Column:
@@ -148,3 +154,43 @@ def trainable_tokens(labels: Column) -> Column:
 def checked_labels(labels: Column) -> Column:
     """The labels; the query fails on a row without a token to train on."""
     return F.when(trainable_tokens(labels) > 0, labels).otherwise(F.raise_error(F.lit("no trainable token: the template was not found")).cast("array<int>"))
+
+
+def message(role: str, content: Column) -> Column:
+    return F.struct(F.lit(role).alias("role"), content.alias("content"))
+
+
+#: The prompts of the three generation stages.
+RESTRUCTURE = ("Problem:\n", "\n\nOriginal solution:\n")
+CONTINUE = "\n\nA solution has been partially written below. Continue it seamlessly from exactly where it cuts off. Do NOT repeat anything already written.\n\n--- PARTIAL SOLUTION (do not repeat) ---\n"
+
+
+def restructure_prompt(problem: Column, solution: Column, *, end: str = "") -> Column:
+    """What a model is asked to write a solution anew; the second provider's prompt ends in a newline (``end``)."""
+    return F.concat(F.lit(RESTRUCTURE[0]), problem, F.lit(RESTRUCTURE[1]), solution, F.lit(end))
+
+
+def continue_prompt(problem: Column, partial: Column) -> Column:
+    """What a model is asked to complete a partial solution, which goes without its trailing white space."""
+    return F.concat(problem, F.lit(CONTINUE), rstrip(partial))
+
+
+def restructured(system: str, problem: Column, solution: Column, response: Column, index: Column) -> Column:
+    """The record of a rewritten solution: three messages, the original solution and the index."""
+    return F.struct(F.array(message("system", F.lit(system)), message("user", problem), message("assistant", response)).alias("messages"), solution.alias("original_solution"), index.alias("index"))
+
+
+def completed(problem: Column, partial: Column, response: Column, index: Column) -> Column:
+    """The record of a completed solution: two messages and the index."""
+    return F.struct(F.array(message("user", problem), message("assistant", completion(partial, response))).alias("messages"), index.alias("index"))
+
+
+def tokenize_and_mask(texts: DataFrame, encode: Callable[[str], list[int]], *, text: str = "text", template: str = "Solution:\n", most: int = 8192) -> DataFrame:
+    """Adds ``input_ids, attention_mask, labels``: tokens cut at ``most``, labels -100 up to and with the last template.
+
+    ``encode`` is the tokenizer, as made in the driver; it runs over Arrow batches.
+    """
+    run = list(encode(template))
+    ids = F.pandas_udf(lambda s: s.map(lambda t: list(encode(t or ""))[:most]), "array<int>")
+    rows = texts.withColumn("input_ids", ids(F.col(text)))
+    return rows.withColumn("attention_mask", F.transform("input_ids", lambda _: F.lit(1))).withColumn("labels", completion_labels(F.col("input_ids"), run))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from grainloom.functions import text as T
 from grainloom.operators import dedup, extract, messages as M, quality as Q
-from grainloom.plans import organize as O
+from grainloom.plans import organize as O, stages
 from grainloom.session import table
 from grainloom.sources import crawl, jsonl
 from grainloom.streaming import incremental
@@ -363,10 +363,101 @@ def url_parts(spark, d):
     return table(spark, d, "scrape_pages").select("url", path.alias("path"), F.substring_index(path, "/", -1).alias("file_name"))
 
 
-@query()
+def _tex_sql(c: str) -> str:
+    """The rewriting in the SQL engine, which has no look-ahead: a letter after the macro is captured instead, twice for neighbours."""
+    for pattern, replacement in extract.MACROS:
+        to = replacement.replace("$1", r"\1")
+        if "(?![a-zA-Z])" in pattern:
+            pattern, to = pattern.replace("(?![a-zA-Z])", "([^a-zA-Z]|$)"), to + r"\1"
+            c = f"regexp_replace({c}, '{pattern}', '{to}', 'g')"
+        quoted = to.replace("\n", "' || chr(10) || '")
+        c = f"regexp_replace({c}, '{pattern}', '{quoted}', 'g')"
+    return _strip(f"regexp_replace({c}, '\\n{{3,}}', chr(10) || chr(10), 'g')")
+
+
+@query(f"select page_id, part, {_tex_sql('s')} \"text\" from (select page_id, generate_subscripts(solutions, 1) - 1 part, unnest(solutions) s from scrape_pages)")
 def tex_clean(spark, d):
-    """The LaTeX cleaner over every solution; the patterns need look-ahead, which the SQL engine lacks."""
-    return table(spark, d, "scrape_pages").select("page_id", F.posexplode("solutions").alias("part", "s")).select("page_id", "part", extract.clean_tex(F.col("s")).alias("text"))
+    pages = table(spark, d, "scrape_pages").select("page_id", F.posexplode("solutions").alias("part", "s"))
+    return pages.select("page_id", F.col("part").cast("bigint").alias("part"), extract.clean_tex(F.col("s")).alias("text"))
+
+
+_BEST = "arg_min(s, (-length(s), k))"
+_SOLVED = "(select page_id, problem, generate_subscripts(solutions, 1) k, unnest(solutions) s from scrape_pages)"
+_PAIR = f"'{_PREFIX}' || {_strip('problem')} prompt"
+
+
+@query(f"select page_id, {_PAIR}, {_BEST} answer from {_SOLVED} where {_strip('problem')} <> '' group by page_id, problem having length({_BEST}) >= 200")
+def scrape_training(spark, d):
+    rows = stages.scrape_training(table(spark, d, "scrape_pages"))
+    return rows.select("page_id", F.col("messages")[0]["content"].alias("prompt"), F.col("messages")[1]["content"].alias("answer"))
+
+
+@query(f"""with b as (select page_id, {_strip('problem')} p, {_BEST} answer from {_SOLVED} where length(s) > 150 and length(s) < 15000 group by page_id, problem)
+select page_id, '{_PREFIX}' || p prompt, answer from b where p <> '' qualify row_number() over (partition by regexp_replace(lower(left(p, 120)), '[{_WS}]+', ' ', 'g') order by page_id) = 1""")
+def scrape_training_distinct(spark, d):
+    rows = stages.scrape_training_distinct(table(spark, d, "scrape_pages"), order="page_id")
+    return rows.select("page_id", F.col("messages")[0]["content"].alias("prompt"), F.col("messages")[1]["content"].alias("answer"))
+
+
+_VALID = "q <> '' and length(s) >= 200 and not (contains(s, '```python') and contains(s, 'sympy')) and not contains(s, 'Traceback') and not contains(s, 'Error')"
+_NEW = f"""with r as (select rec_id, coalesce(contains(lower(source), 'cot_') or contains(lower(source), 'forum'), false) wanted, {_first('user')} q, {_first('assistant')} s from chat_records),
+j as (select *, coalesce({_VALID}, false) valid, left('{_PREFIX}' || {_strip('q')}, 120) k from r),
+e as (select left('{_PREFIX}' || {_strip('problem')}, 120) k from dpo_pairs where problem is not null),
+f as (select * from j where wanted and valid and k not in (select k from e) qualify row_number() over (partition by k order by rec_id) = 1)
+"""
+
+
+def downloaded(spark, d, most=None):
+    m = F.col("messages")
+    existing = table(spark, d, "dpo_pairs").filter("problem is not null").select(T.head(F.concat(F.lit(M.PROBLEM_PREFIX), T.strip(F.col("problem"))), 120).alias("k"))
+    return stages.new_entries(chat(spark, d), existing, order="rec_id", question=M.first_content(m, "user"), solution=M.first_content(m, "assistant"), source=F.col("source"), sources=("cot_", "forum"), least=200, most=most)
+
+
+@query(_NEW + "select (select count(*) from f) n_new, count(*) filter (wanted and valid) - (select count(*) from f) n_dupes, count(*) filter (wanted and not valid) n_invalid, count(*) filter (not wanted) n_other from j")
+def download_counters(spark, d):
+    return downloaded(spark, d)[1]
+
+
+@query(_NEW + "select rec_id from f order by rec_id limit 5000")
+def download_entries(spark, d):
+    """At most 5,000 new entries, the stage's own limit."""
+    return downloaded(spark, d, 5000)[0].select(F.col("ord").alias("rec_id"))
+
+
+@query(_SCORED + """, g as (select distinct h from pool where quality = 'good'), b as (select distinct h from pool where quality = 'broken')
+select count(*) n_examples, count(*) filter (quality = 'good') n_good, count(*) filter (quality = 'broken') n_broken, (select count(*) from g) n_good_problems,
+(select count(*) from b where h not in (select h from g)) n_broken_only, (select count(*) from b where h in (select h from g)) n_pairs from s""")
+def organize_counters(spark, d):
+    rows = O.scored(chat(spark, d))
+    return stages.counters(rows, O.best_of_problem(rows))
+
+
+@query(_F1 + " select rec_id from f where list_has_any(flags, ['TOO_SHORT', 'REFUTES_PROBLEM'])")
+def flag_filter_v1(spark, d):
+    return audited(spark, d, Q.FIRST).filter(F.arrays_overlap("flags", F.array(F.lit("TOO_SHORT"), F.lit("REFUTES_PROBLEM")))).select("rec_id")
+
+
+_PARTIAL = f"regexp_replace(messages[2].content, '[{_WS}]+$', '')"
+_LINE = "' || chr(10) || '"
+
+
+@query(f"""select cot_id, 'Problem:{_LINE}' || messages[1].content || '{_LINE}{_LINE}Original solution:{_LINE}' || messages[2].content restructure,
+messages[1].content || '{_LINE}{_LINE}A solution has been partially written below. Continue it seamlessly from exactly where it cuts off. Do NOT repeat anything already written.{_LINE}{_LINE}--- PARTIAL SOLUTION (do not repeat) ---{_LINE}' || {_PARTIAL} continuation from cot_pairs""")
+def prompts(spark, d):
+    first, second = (F.get("messages", F.lit(i))["content"] for i in (0, 1))
+    return table(spark, d, "cot_pairs").select("cot_id", M.restructure_prompt(first, second).alias("restructure"), M.continue_prompt(first, second).alias("continuation"))
+
+
+@query(f"""with w as (select doc_id, list_transform(regexp_extract_all(text, '[^{_WS}]+'), lambda x: length(x)) ids from documents),
+p as (select *, list_max(list_filter(range(1, len(ids)), lambda i: ids[i] = 2 and ids[i + 1] = 3)) place from w),
+m as (select doc_id, ids, case when place is null then list_transform(ids, lambda x: -100) else list_transform(ids, lambda x, i: case when i < place + 2 then -100 else x end) end labels from p)
+select doc_id, len(ids) n, cast(list_sum(labels) as bigint) label_sum, len(list_filter(labels, lambda x: x <> -100)) trainable from m where len(ids) > 0""")
+def completion_mask(spark, d):
+    """Masking with the lengths of words as tokens and two of them as the template."""
+    ids = F.transform(F.regexp_extract_all("text", F.lit(f"[^{T.WS}]+"), F.lit(0)), F.length)
+    rows = table(spark, d, "documents").select("doc_id", ids.alias("ids")).filter("size(ids) > 0").select("doc_id", "ids", M.completion_labels(F.col("ids"), [2, 3]).alias("labels"))
+    total = F.aggregate("labels", F.lit(0).cast("bigint"), lambda a, x: a + x)
+    return rows.select("doc_id", F.size("ids").cast("bigint").alias("n"), total.alias("label_sum"), M.trainable_tokens(F.col("labels")).cast("bigint").alias("trainable"))
 
 
 @query()

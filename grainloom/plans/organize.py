@@ -10,10 +10,17 @@ from grainloom.operators.messages import SYSTEM_PROMPT, chatml, chatml_part, fir
 from grainloom.operators.quality import quality, score_marks, score_texts
 
 
-def scored(records: DataFrame, *, messages: str = "messages", source: str = "source", order: str = "rec_id") -> DataFrame:
-    """Key, score and texts of each record with a user and an assistant text: ``ord, source, h, quality .. seems_truncated, user, assistant``."""
-    ms = F.col(messages)
-    split = once(records.select(F.col(order).alias("ord"), F.col(source).alias("source"), ms.alias("ms")), ["ord", "source"], u=problem_text(F.col("ms")), a=F.coalesce(strip(first_content(F.col("ms"), "assistant")), F.lit("")))
+def scored(records: DataFrame, *, messages: str = "messages", source: str = "source", order: str = "rec_id", text: str | None = None) -> DataFrame:
+    """Key, score and texts of each record with a user and an assistant text: ``ord, source, h, quality .. seems_truncated, user, assistant``.
+
+    With ``text``, a record that has a rendered text is read from that.
+    """
+    texts = F.col(text) if text else F.lit(None).cast("string")
+    rows = records.select(F.col(order).alias("ord"), F.col(source).alias("source"), F.col(messages).alias("ms"), texts.alias("t"))
+    u, a = problem_text(F.col("ms")), F.coalesce(strip(first_content(F.col("ms"), "assistant")), F.lit(""))
+    if text:
+        u, a = (F.when(F.col("t").isNotNull(), chatml_part(F.col("t"), role)).otherwise(c) for role, c in (("user", u), ("assistant", a)))
+    split = once(rows, ["ord", "source"], u=u, a=a)
     split = split.filter("u <> '' and a <> ''")
     rows = once(split, ["ord", "source"], user=without_label(F.col("u"), "Problem"), assistant=without_label(F.col("a"), "Solution"))
     judged = once(rows, ["ord", "source", "user", "assistant"], h=problem_hash(F.col("user")), **score_texts(F.col("assistant"))).withColumns(score_marks())
@@ -35,8 +42,8 @@ def best_of_problem(rows: DataFrame, *carried: str) -> DataFrame:
     carried columns. One partial aggregate and one shuffle serve both sides, and only what is carried moves.
     """
     value = F.struct("ord", "word_count", *carried)
-    rank = F.struct(F.col("word_count"), (-F.col("ord")).alias("ord"))
-    return rows.groupBy("h").agg(*[F.max_by(value, F.when(F.col("quality") == q, rank)).alias(q) for q in SIDES])
+    rank = F.struct((-F.col("word_count")).alias("n"), F.col("ord"))
+    return rows.groupBy("h").agg(*[F.min_by(value, F.when(F.col("quality") == q, rank)).alias(q) for q in SIDES])
 
 
 def pools(best: DataFrame) -> DataFrame:

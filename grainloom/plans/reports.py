@@ -27,6 +27,11 @@ def flagged_path(path: str) -> str:
     return str(Path(path).with_suffix(".flagged.jsonl"))
 
 
+def checkpoint_path(path: str) -> str:
+    """The default place of the done ids beside an output."""
+    return str(Path(path).with_suffix(".checkpoint"))
+
+
 def preview(rows: DataFrame, n: int = 1) -> tuple[str, list]:
     """Schema and first rows of a source."""
     return rows.schema.simpleString(), rows.take(n)

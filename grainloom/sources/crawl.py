@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import os
 import time
+import urllib.error
+import urllib.request
 from collections.abc import Callable, Iterator
 from urllib.parse import urljoin
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grainloom.operators.extract import links
+from grainloom.operators.extract import links, page_texts, wiki_pairs
+from grainloom.sources.jsonl import store_files
 
 
 def contest_grid(contests: DataFrame) -> DataFrame:
@@ -27,6 +31,39 @@ def year_range(c: str):
     return [parts[i].try_cast("int") for i in (0, 1)]
 
 
+def name_grid(spark: SparkSession, bases: list[str], patterns: list[str], first_year: int, last_year: int) -> DataFrame:
+    """``url`` for each base, year and name pattern (with ``{year}``), in that order of nesting."""
+    years = spark.range(first_year, last_year + 1).select(F.col("id").cast("string").alias("year"))
+    names = years.select("year", F.explode(F.array(*map(F.lit, patterns))).alias("pattern"))
+    return names.select(F.explode(F.array(*map(F.lit, bases))).alias("base"), "year", "pattern").select(F.concat("base", F.replace("pattern", F.lit("{year}"), F.col("year"))).alias("url"))
+
+
+def bearer(variable: str) -> dict[str, str]:
+    """The authorisation header of a token in the environment, if there is one; read where the client is made, so it is in no plan."""
+    token = os.environ.get(variable)
+    return {"Authorization": f"Bearer {token}"} if token else {}
+
+
+class HttpClient:
+    """A client for ``fetch``: one opener with its headers for each task, a time-out for each request."""
+
+    def __init__(self, headers: dict[str, str] | None = None, *, timeout: float = 15.0, token_variable: str | None = None) -> None:
+        self.headers, self.timeout, self.token_variable, self.opener = headers or {}, timeout, token_variable, None
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"opener": None}
+
+    def __call__(self, url: str) -> tuple[int, str]:
+        if self.opener is None:
+            self.opener = urllib.request.build_opener()
+            self.opener.addheaders = [*(self.headers | (bearer(self.token_variable) if self.token_variable else {})).items()]
+        try:
+            with self.opener.open(url, timeout=self.timeout) as answer:
+                return answer.status, answer.read().decode("utf-8", "replace")
+        except urllib.error.HTTPError as e:
+            return e.code, ""
+
+
 def fetch(urls: DataFrame, client: Callable[[str], tuple[int, str]], *, attempts: int = 3, delay: float = 0.5, backoff: float = 30.0, sleep: Callable[[float], None] = time.sleep) -> DataFrame:
     """``url, page`` (null after the last attempt); only status 200 counts, 429 waits longer each time.
 
@@ -66,9 +103,14 @@ def page_links(pages: DataFrame, *, suffixes: tuple[str, ...] = (".tex",), disti
     return found.select("link").distinct() if distinct else found
 
 
+def bytes_as_text(content):
+    """Bytes as UTF-8, those that are none left out."""
+    return F.pandas_udf(lambda s: s.map(lambda b: None if b is None else bytes(b).decode("utf-8", "ignore")), "string")(content)
+
+
 def looks_like_tex(content):
     """Download gate: more than 300 bytes and a mark of TeX among the first 200."""
-    start = F.decode(F.substring(content, 1, 200), "ISO-8859-1")
+    start = bytes_as_text(F.substring(content, 1, 200))
     return (F.octet_length(content) > 300) & start.rlike(r"\\documentclass|\\begin|Evan Chen|%")
 
 
@@ -117,3 +159,29 @@ def not_on_disk(urls: DataFrame, files: DataFrame) -> DataFrame:
 
 def large_enough(content, least: int = 200):
     return F.octet_length(content) > least
+
+
+def crawl_notes(spark: SparkSession, client: Callable[[str], tuple[int, str]], *, bases: list[str], patterns: list[str], first_year: int, last_year: int, indexes: list[str] = (), files: DataFrame | None = None, folder: str | None = None, **fetching: object) -> DataFrame:
+    """Notes of a site: the addresses of the name grid and those its index pages link to, sorted, without the files at hand.
+
+    Without ``folder`` nothing is fetched and the plan of ``url, file_name`` is returned (a dry run; the index
+    pages are read when it runs); with it, what looks like TeX is stored there: ``file_name, n_bytes``.
+    """
+    wanted = name_grid(spark, bases, patterns, first_year, last_year)
+    if indexes:
+        pages = fetch(spark.createDataFrame([(u,) for u in indexes], "url string"), client, **fetching).filter("page is not null")
+        wanted = wanted.union(page_links(pages).select("link")).distinct()
+    plan = not_on_disk(wanted, files if files is not None else spark.createDataFrame([], "file_name string")).select("url", "file_name").orderBy("url")
+    if folder is None:
+        return plan
+    content = fetch(plan, client, **fetching).filter("page is not null").select("url", F.encode("page", "utf-8").alias("content")).filter(looks_like_tex(F.col("content")))
+    return store_files(content.select(F.substring_index(F.parse_url("url", F.lit("PATH")), "/", -1).alias("file_name"), "content"), folder)
+
+
+def crawl_wiki(contests: DataFrame, client: Callable[[str], tuple[int, str]], *, cached: DataFrame | None = None, **fetching: object) -> DataFrame:
+    """``url, problem, solutions`` of a wiki's problem pages that are not ``cached`` (url) yet."""
+    urls = contest_grid(contests).select("url")
+    if cached is not None:
+        urls = urls.join(cached.select("url").distinct(), "url", "left_anti")
+    pages = fetch(urls, client, **fetching).filter("page is not null").filter(has_text(F.col("page")))
+    return wiki_pairs(page_texts(pages, "page").filter("text is not null"))

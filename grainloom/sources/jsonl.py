@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import json
+import os
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from grainloom.functions.text import strip
+from grainloom.session import checkpoint
 
 #: Line ends of ``str.splitlines`` at which the text source does not split.
 _MORE_ENDS = "[\\x0b\\x0c\\x1c-\\x1e\\x85\\u2028\\u2029]"
@@ -29,6 +33,40 @@ def read_lines(spark: SparkSession, path: str | list[str], glob: str | None = No
     return lines.filter("line <> ''")
 
 
+def numbered_lines(spark: SparkSession, path: str | list[str], glob: str | None = None) -> DataFrame:
+    """``file_path, line_no, line`` of all lines, blank ones too; ``line_no`` counts from 1 within its file.
+
+    Lines are numbered within their block of the file; the blocks' offsets are a table as long as there are blocks.
+    """
+    reader = spark.read.option("pathGlobFilter", glob) if glob else spark.read
+    at = reader.text(path).select(F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("seq"), F.col("value").alias("line"))
+    at = checkpoint(at)
+    ahead = Window.partitionBy("file_path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = at.groupBy("file_path", "block").agg(F.count("*").alias("n")).select("file_path", "block", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("ahead"))
+    within = F.row_number().over(Window.partitionBy("file_path", "block").orderBy("seq"))
+    return at.withColumn("within", within).join(blocks, ["file_path", "block"]).select("file_path", (F.col("ahead") + F.col("within")).alias("line_no"), "line")
+
+
+def read_strict(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """JSON Lines of which every line must fit; the action fails on the first that does not."""
+    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+
+
+def training_texts(spark: SparkSession, path: str) -> DataFrame:
+    """The texts of a training file."""
+    return spark.read.schema("text string").json(path)
+
+
+PAGE = "url string, problem string, solutions array<string>"
+
+
+def read_pages(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
+    """``ord, file, url, problem, solutions`` of scraped pages; lines that are no object are left out."""
+    lines = read_lines(spark, path, glob)
+    rows = lines.select("ord", "file", F.from_json("line", PAGE).alias("p")).filter("p is not null")
+    return rows.select("ord", "file", "p.url", F.coalesce("p.problem", F.lit("")).alias("problem"), "p.solutions")
+
+
 def is_clean_json(c: Column) -> Column:
     """The line is exactly one JSON value: it parses alone within brackets and as the value of a key."""
     listed = F.try_parse_json(F.concat(F.lit("["), c, F.lit("]")))
@@ -109,7 +147,8 @@ def repair_lines(lines: DataFrame, *, line: str = "line", strict_parts: bool = F
             yield pa.RecordBatch.from_arrays([*(batch.column(i).take(take) for i in range(n)), pa.array(sub, pa.int32()), pa.array(raw, pa.string()), pa.array(error, pa.string())], [*others, "sub_object", "raw", "parse_error"])
 
     rejected = rows.filter(F.coalesce(~F.col("_ok"), F.lit(False))).select(*others, "raw")
-    return clean.unionByName(rejected.mapInArrow(scan, clean.schema))
+    made = StructType([StructField(f.name, f.dataType, f.nullable or f.name == "raw") for f in clean.schema.fields])  # an error has no object
+    return clean.unionByName(rejected.mapInArrow(scan, made))
 
 
 def with_record(rows: DataFrame, raw: str = "raw") -> DataFrame:
@@ -153,7 +192,27 @@ def read_integers(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_tex(spark: SparkSession, path: str) -> DataFrame:
-    """``source, text`` of TeX files below a folder; bytes that are no UTF-8 are dropped."""
+    """``source, text`` of TeX files below a folder, in the order of their paths; bytes that are no UTF-8 are dropped."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.tex").load(path)
     decode = F.pandas_udf(lambda s: s.map(lambda b: b.decode("utf-8", "ignore")), "string")
-    return files.select(F.regexp_extract("path", r"([^/]+)\.tex$", 1).alias("source"), decode("content").alias("text"))
+    return files.orderBy("path").select(F.regexp_extract("path", r"([^/]+)\.tex$", 1).alias("source"), decode("content").alias("text"))
+
+
+def store_files(files: DataFrame, folder: str) -> DataFrame:
+    """Contents (``file_name, content``) as files in a folder that all tasks share: ``file_name, n_bytes`` of what was written.
+
+    A file is written beside its name and then moved there, so a task that runs twice leaves whole files.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = []
+            for name, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                part = os.path.join(folder, f".{os.path.basename(name)}.{uuid.uuid4().hex}")
+                with open(part, "wb") as f:
+                    sizes.append(f.write(content))
+                os.replace(part, os.path.join(folder, os.path.basename(name)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64())], ["file_name", "n_bytes"])
+
+    os.makedirs(folder, exist_ok=True)
+    return files.select("file_name", "content").mapInArrow(run, "file_name string, n_bytes bigint")
