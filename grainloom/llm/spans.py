@@ -4,13 +4,14 @@ A text becomes a row of symbols: words, other characters, runs of one character.
 compression follow: a symbol whose name says "left" in this round joins the next one if that says
 "right", and the pair gets a name computed from both names. A name depends on the content alone, so
 equal substrings get equal interior symbols in every record without a dictionary shuffled between
-rounds: the 64-bit name is the global dictionary, and every match is verified on the texts.
+rounds: the 64-bit name is the global dictionary, and every link is verified on the texts.
 
 Each symbol carries the interval of characters that its forming depended on. A symbol whose interval
 lies in a window is formed in every record that has the window, so for each window the symbols of the
 highest round that it holds are the same everywhere. These are the anchors: two records that share a
-span of ``min_chars`` share an anchor at matching places, whatever surrounds the span. No span is
-lost; what anchors claim is then checked by comparing the texts around them.
+span of ``min_chars`` share an anchor at matching places, whatever surrounds the span. Around an anchor
+the span reaches at least half its length to one side, so only records that also agree on one of the
+two halves beside the anchor meet. No span is lost; what is left is checked on the texts.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from grainloom.llm import arrays
@@ -58,12 +59,28 @@ def base_symbols(texts: list[str]) -> tuple[np.ndarray, ...]:
     text = np.searchsorted(offsets, starts, side="right") - 1
     np.maximum(low, offsets[text], out=low)
     np.minimum(high, offsets[text + 1], out=high)
-    return arrays.span_hash(arrays.prefix(values), starts, ends), starts, ends, low, high, text, offsets
+    sums = arrays.prefix(values)
+    return arrays.span_hash(sums, starts, ends), starts, ends, low, high, text, offsets, sums
 
 
 def anchors(texts: list[str], min_chars: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Text number, name and place (in the text) of each text's anchors."""
-    names, starts, ends, low, high, text, offsets = base_symbols(texts)
+    return anchors_with_sides(texts, min_chars)[:3]
+
+
+def anchors_with_sides(texts: list[str], min_chars: int) -> tuple[np.ndarray, ...]:
+    """The same with the names of the halves of a span before and behind each anchor, and whether the text has them."""
+    *symbols, sums = base_symbols(texts)
+    text, names, places = _anchors(symbols, min_chars)
+    offsets, half = symbols[-1], min_chars // 2
+    at = places + offsets[text]
+    before, behind = places >= half, at + half <= offsets[text + 1]
+    left, right = (arrays.mix(names ^ arrays.span_hash(sums, np.maximum(at + x, 0), np.minimum(at + x + half, len(sums) - 1))) for x in (-half, 0))
+    return text, names, places, left, arrays.mix(right), before, behind
+
+
+def _anchors(symbols: list[np.ndarray], min_chars: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    names, starts, ends, low, high, text, offsets = symbols
     width = min_chars - LONGEST - 2
     grid, grid_text = low.copy(), text.copy()  # window g: characters grid[g] .. grid[g] + width
     inside = grid + width <= offsets[grid_text + 1]
@@ -137,48 +154,74 @@ def _content(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
     return documents.select(F.col(doc_id).cast("bigint").alias("d"), F.col(text).alias("t")).filter("t is not null and d is not null").withColumn("cls", F.unhex(F.md5(F.col("t").cast("binary"))))
 
 
-def shared_spans(documents: DataFrame, *, doc_id: str = "doc_id", text: str = "text", min_chars: int = 400, hot: int = 64) -> tuple[DataFrame, DataFrame]:
-    """Spans of ``min_chars`` or more code points that stand in more than one text, character for character.
+def _marks(content: DataFrame, min_chars: int) -> DataFrame:
+    """``cls, sym, pos, n``: anchors with one of their halves that two or more different texts have, and in how many marks.
 
-    Returns ``members (cls, doc_id)``, which puts each document in the class of its exact text, and
-    ``links (cls_a, cls_b, start_a, start_b, n_chars)``: one row per pair of different texts and
-    diagonal with a shared span. Copies are not expanded. An anchor in more than ``hot`` texts (a
-    boilerplate passage) makes no pairs by itself: it is replaced by the exact names of the windows of
-    ``min_chars`` around it, so only texts that do share a whole window meet.
-
-    Null texts and ids take no part; texts under ``min_chars`` link to nothing; repeated rows are
-    members of one class; an empty table gives empty results. Other columns are ignored.
+    Two steps: anchors first, as one row each, and of those that met the two halves.
     """
-    if min_chars < 4 * LONGEST:
-        raise ValueError(f"min_chars must be at least {4 * LONGEST}")
-    content = _content(documents, doc_id, text)
-    members = content.select("cls", F.col("d").alias("doc_id")).distinct()
 
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1).to_pylist()
             for a, b in arrays.blocks(texts):
-                where, names, places = anchors(texts[a:b], min_chars)
+                where, names, places, left, right, before, behind = anchors_with_sides(texts[a:b], min_chars)
                 if len(where):
-                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a).take(pa.array(where)), pa.array(names.view(np.int64)), pa.array(places.astype(np.int32))], ["cls", "sym", "pos"])
+                    sides = [pa.array(x.view(np.int64), mask=~there) for x, there in ((left, before), (right, behind))]
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a).take(pa.array(where)), pa.array(names.view(np.int64)), pa.array(places.astype(np.int32)), *sides], ["cls", "sym", "pos", "left", "right"])
+
+    found = checkpoint(content.mapInArrow(name, "cls binary, sym bigint, pos int, left bigint, right bigint"))
+    near = met(found, "left", "right").select("cls", "pos", F.explode(F.array_compact(F.array("left", "right"))).alias("sym"))
+    # copies of one text bring the same anchors; they fall together here, where few are left
+    return met(near.distinct())
+
+
+def met(marks: DataFrame, *others: str) -> DataFrame:
+    """Marks whose name stands in two or more different texts, with the number of marks of the name."""
+    cls = F.xxhash64("cls")
+    counts = marks.groupBy("sym").agg(F.min(cls).alias("lo"), F.max(cls).alias("hi"), F.count("*").alias("n")).filter("lo < hi").select("sym", "n")
+    return marks.join(counts, "sym").select("cls", "sym", "pos", *others, "n")
+
+
+def _windows(texts: DataFrame, min_chars: int) -> DataFrame:
+    """``cls, sym, pos``: the exact names of all windows of ``min_chars`` around the ``places`` of ``cls, t, places``."""
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for cls, text_, places in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 sums = arrays.prefix(arrays.code_values()[arrays.codes([text_])[0]])
-                last = len(text_) - min_chars
-                starts = np.unique(np.concatenate([np.arange(max(0, p + 1 - min_chars), min(p, last) + 1) for p in places]))
+                around = np.zeros(len(text_) + 2, dtype=np.int64)
+                p = np.array(places)
+                np.add.at(around, np.maximum(0, p + 1 - min_chars), 1)
+                np.add.at(around, np.maximum(0, np.minimum(p, len(text_) - min_chars) + 1), -1)
+                starts = np.flatnonzero(np.cumsum(around)[: len(text_) - min_chars + 1] > 0)
                 if len(starts):
                     names = arrays.span_hash(sums, starts, starts + min_chars)
                     yield pa.RecordBatch.from_arrays([pa.array([cls] * len(names), pa.binary()), pa.array(names.view(np.int64)), pa.array(starts.astype(np.int32))], ["cls", "sym", "pos"])
 
-    long_enough = content.filter(F.length("t") >= min_chars).select("cls", "t")
-    found = checkpoint(long_enough.mapInArrow(name, "cls binary, sym bigint, pos int"))
+    return texts.select("cls", "t", "places").mapInArrow(windows, "cls binary, sym bigint, pos int")
 
-    def met(marks: DataFrame) -> DataFrame:
-        """Marks whose name stands in two or more different texts, with the number of marks of the name."""
-        counts = marks.groupBy("sym").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi"), F.count("*").alias("n")).filter("lo < hi").select("sym", "n")
-        return marks.join(counts, "sym")
+
+def _texts_of(content: DataFrame, classes: DataFrame) -> DataFrame:
+    """Class and text of the classes that met another one; copies fall together before they move."""
+    return content.join(classes.select("cls").distinct(), "cls", "left_semi").groupBy("cls").agg(F.first("t").alias("t"))
+
+
+def shared_spans(documents: DataFrame, *, doc_id: str = "doc_id", text: str = "text", min_chars: int = 400, hot: int = 64) -> tuple[DataFrame, DataFrame]:
+    """Spans of ``min_chars`` or more code points that stand in more than one text, character for character.
+
+    Returns ``members (cls, doc_id)``, which puts each document in the class of its exact text, and
+    ``links (cls_a, cls_b, start_a, start_b, n_chars)``: one row per pair of different texts and
+    diagonal with a shared span. Copies are not expanded. A name with more than ``hot`` marks (a boilerplate
+    passage) makes no pairs by itself: it is replaced by the exact names of the windows of ``min_chars``
+    around it, so only texts that do share a whole window meet.
+
+    Null texts and ids take no part; texts under ``min_chars`` link to nothing; repeated rows are
+    members of one class; an empty table gives empty results. Other columns are ignored.
+    """
+    if min_chars < 4 * LONGEST:
+        raise ValueError(f"min_chars must be at least {4 * LONGEST}")
+    content = _content(documents, doc_id, text)
+    members = content.select("cls", F.col("d").alias("doc_id")).distinct()
 
     def meet(marks: DataFrame) -> DataFrame:
         a = marks.select("sym", F.col("cls").alias("cls_a"), F.col("pos").alias("pos_a"))
@@ -186,12 +229,11 @@ def shared_spans(documents: DataFrame, *, doc_id: str = "doc_id", text: str = "t
         pairs = a.join(b, "sym").filter("cls_a < cls_b")
         return pairs.groupBy("cls_a", "cls_b", (F.col("pos_a") - F.col("pos_b")).alias("diagonal")).agg(F.collect_set("pos_a").alias("places"))
 
-    # copies of one text bring the same anchors; they fall together here, where few anchors are left
-    marks = checkpoint(met(found).distinct())
+    long_enough = content.filter(F.length("t") >= min_chars).select("cls", "t")
+    marks = checkpoint(_marks(long_enough, min_chars))
     crowded = marks.filter(F.col("n") > hot).groupBy("cls").agg(F.collect_set("pos").alias("places"))
-    # only texts that met another one are moved, and once
-    texts = long_enough.join(marks.select("cls").distinct(), "cls", "left_semi").groupBy("cls").agg(F.first("t").alias("t"))
-    exact = met(texts.join(crowded, "cls").select("cls", "t", "places").mapInArrow(windows, "cls binary, sym bigint, pos int").distinct()).select("sym", "cls", "pos")
+    texts = _texts_of(long_enough, marks)
+    exact = met(_windows(texts.join(crowded, "cls"), min_chars)).select("sym", "cls", "pos")
     pairs = meet(marks.filter(F.col("n") <= hot).select("sym", "cls", "pos")).unionByName(meet(exact))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,24 +268,20 @@ def sharing_pairs(documents: DataFrame, *, doc_id: str = "doc_id", text: str = "
 
 
 def shared_portions(documents: DataFrame, *, doc_id: str = "doc_id", text: str = "text", min_chars: int = 400) -> DataFrame:
-    """For each document: the class of its exact text, its copies, its links to other texts, and its shared share.
+    """For each document the class of its exact text, its copies, and how much of it stands elsewhere too.
 
-    ``n_shared`` counts the code points in spans that stand elsewhere too; a document with copies of at
-    least ``min_chars`` is shared wholly. Null texts have no row; an empty text has share 0.
+    ``n_shared`` counts the code points in windows of ``min_chars`` that another text has (by their 64-bit
+    names); a document with copies of at least ``min_chars`` is shared wholly. No pairs are made: a passage of
+    a million texts is a million windows. Null texts have no row; an empty text has share 0.
     """
     content = _content(documents, doc_id, text)
-    members, links = shared_spans(documents, doc_id=doc_id, text=text, min_chars=min_chars)
-    spans = links.select(F.col("cls_a").alias("cls"), F.col("cls_b").alias("other"), F.col("start_a").alias("start"), "n_chars").unionByName(
-        links.select(F.col("cls_b").alias("cls"), F.col("cls_a").alias("other"), F.col("start_b").alias("start"), "n_chars")
-    )
-    partners = spans.groupBy("cls").agg(F.count_distinct("other").alias("n_links"))
-    # distinct intervals only: a text linked a million times by one passage has one interval
-    ends = spans.groupBy("cls", "start").agg(F.max(F.col("start") + F.col("n_chars")).alias("stop"))
-    from pyspark.sql import Window
-
-    before = Window.partitionBy("cls").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
-    covered = ends.withColumn("seen", F.coalesce(F.max("stop").over(before), F.lit(0))).groupBy("cls").agg(F.sum(F.greatest(F.lit(0), F.col("stop") - F.greatest("start", "seen"))).alias("covered"))
+    members = content.select("cls", F.col("d").alias("doc_id")).distinct()
+    long_enough = content.filter(F.length("t") >= min_chars).select("cls", "t")
+    places = checkpoint(_marks(long_enough, min_chars)).groupBy("cls").agg(F.collect_set("pos").alias("places"))
+    windows = met(_windows(_texts_of(long_enough, places).join(places, "cls"), min_chars))
+    ahead = F.lead("pos").over(Window.partitionBy("cls").orderBy("pos")) - F.col("pos")
+    covered = windows.select("cls", F.least(F.coalesce(ahead, F.lit(min_chars)), F.lit(min_chars)).alias("n")).groupBy("cls").agg(F.sum("n").alias("covered"))
     sizes = content.groupBy("cls").agg(F.min("d").alias("class_id"), F.count_distinct("d").alias("n_copies"), F.max(F.length("t")).cast("bigint").alias("n_chars"))
-    per_class = sizes.join(partners, "cls", "left").join(covered, "cls", "left")
+    per_class = sizes.join(covered, "cls", "left")
     shared = F.when((F.col("n_copies") > 1) & (F.col("n_chars") >= min_chars), F.col("n_chars")).otherwise(F.coalesce("covered", F.lit(0)))
-    return members.join(per_class, "cls").select("doc_id", "class_id", "n_copies", F.coalesce("n_links", F.lit(0)).alias("n_links"), "n_chars", shared.cast("bigint").alias("n_shared"), F.round(shared / F.greatest("n_chars", F.lit(1)), 6).alias("share"))
+    return members.join(per_class, "cls").select("doc_id", "class_id", "n_copies", "n_chars", shared.cast("bigint").alias("n_shared"), F.round(shared / F.greatest("n_chars", F.lit(1)), 6).alias("share"))

