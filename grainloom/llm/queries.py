@@ -168,11 +168,11 @@ _P10 = """with w as (select distinct doc_id, md5_number_lower(text[k:k + 399]) h
 h as (select h from w group by h having count(*) > 1), m as (select doc_id, h from w semi join h using (h))
 select distinct a.doc_id doc_a, b.doc_id doc_b from m a join m b on a.h = b.h and a.doc_id < b.doc_id"""
 
-_P10_SHARES = """with t as (select "text", min(doc_id) class_id, count(distinct doc_id) n_copies, length("text") n_chars from documents where "text" is not null group by "text"),
-w as (select class_id, k, md5_number_lower("text"[k:k + 399]) h from (select class_id, "text", unnest(range(1, n_chars - 398)) k from t where n_chars >= 400)),
+_P10_SHARES = """with t as (select "text", min(doc_id) class_id, count(distinct doc_id) n_copies, length("text") size from documents where "text" is not null group by "text"),
+w as (select class_id, k, md5_number_lower("text"[k:k + 399]) h from (select class_id, "text", unnest(range(1, size - 398)) k from t where size >= 400)),
 s as (select h from w group by h having count(distinct class_id) > 1), m as (select class_id, k from w semi join s using (h)),
 l as (select class_id, least(400, coalesce(lead(k) over (partition by class_id order by k) - k, 400)) n from m), c as (select class_id, sum(n) covered from l group by class_id),
-r as (select doc_id, class_id, n_copies, n_chars, cast(case when n_copies > 1 and n_chars >= 400 then n_chars else coalesce(covered, 0) end as bigint) n_shared from documents join t using ("text") left join c using (class_id))
+r as (select doc_id, class_id, n_copies, size n_chars, cast(case when n_copies > 1 and size >= 400 then size else coalesce(covered, 0) end as bigint) n_shared from documents join t using ("text") left join c using (class_id))
 select *, round(n_shared / greatest(n_chars, 1), 6) share from r"""
 
 
