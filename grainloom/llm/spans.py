@@ -165,11 +165,14 @@ def _marks(content: DataFrame, min_chars: int) -> DataFrame:
             texts = batch.column(1).to_pylist()
             for a, b in arrays.blocks(texts):
                 where, names, places, left, right, before, behind = anchors_with_sides(texts[a:b], min_chars)
-                if len(where):
-                    sides = [pa.array(x.view(np.int64), mask=~there) for x, there in ((left, before), (right, behind))]
-                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a).take(pa.array(where)), pa.array(names.view(np.int64)), pa.array(places.astype(np.int32)), *sides], ["cls", "sym", "pos", "left", "right"])
-
-    found = checkpoint(content.mapInArrow(name, "cls binary, sym bigint, pos int, left bigint, right bigint"))
+                order = np.argsort(where, kind="stable")
+                bounds = pa.array(np.searchsorted(where[order], np.arange(b - a + 1)).astype(np.int32))
+                values = [pa.array(names[order].view(np.int64)), pa.array(places[order].astype(np.int32)), *(pa.array(x[order].view(np.int64), mask=~there[order]) for x, there in ((left, before), (right, behind)))]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *(pa.ListArray.from_arrays(bounds, v) for v in values)], ["cls", "sym", "pos", "left", "right"])
+
+    # a row for each text: what is written is the anchors and little else
+    lists = checkpoint(content.mapInArrow(name, "cls binary, sym array<bigint>, pos array<int>, left array<bigint>, right array<bigint>"))
+    found = lists.select("cls", F.inline(F.arrays_zip("sym", "pos", "left", "right")))
     near = met(found, "left", "right").select("cls", "pos", F.explode(F.array_compact(F.array("left", "right"))).alias("sym"))
     # copies of one text bring the same anchors; they fall together here, where few are left
     return met(near.distinct())
