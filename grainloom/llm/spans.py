@@ -75,8 +75,8 @@ def anchors_with_sides(texts: list[str], min_chars: int) -> tuple[np.ndarray, ..
     offsets, half = symbols[-1], min_chars // 2
     at = places + offsets[text]
     before, behind = places >= half, at + half <= offsets[text + 1]
-    left, right = (arrays.mix(names ^ arrays.span_hash(sums, np.maximum(at + x, 0), np.minimum(at + x + half, len(sums) - 1))) for x in (-half, 0))
-    return text, names, places, left, arrays.mix(right), before, behind
+    left, right = (arrays.span_hash(sums, np.maximum(at + x, 0), np.minimum(at + x + half, len(sums) - 1)) for x in (-half, 0))
+    return text, names, places, left, right, before, behind
 
 
 def _anchors(symbols: list[np.ndarray], min_chars: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -167,13 +167,14 @@ def _marks(content: DataFrame, min_chars: int) -> DataFrame:
                 where, names, places, left, right, before, behind = anchors_with_sides(texts[a:b], min_chars)
                 order = np.argsort(where, kind="stable")
                 bounds = pa.array(np.searchsorted(where[order], np.arange(b - a + 1)).astype(np.int32))
-                values = [pa.array(names[order].view(np.int64)), pa.array(places[order].astype(np.int32)), *(pa.array(x[order].view(np.int64), mask=~there[order]) for x, there in ((left, before), (right, behind)))]
+                values = [pa.array(names[order].view(np.int64)), pa.array(places[order].astype(np.int32)), *(pa.array((x[order] >> np.uint64(32)).astype(np.uint32).view(np.int32), mask=~there[order]) for x, there in ((left, before), (right, behind)))]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *(pa.ListArray.from_arrays(bounds, v) for v in values)], ["cls", "sym", "pos", "left", "right"])
 
-    # a row for each text: what is written is the anchors and little else
-    lists = checkpoint(content.mapInArrow(name, "cls binary, sym array<bigint>, pos array<int>, left array<bigint>, right array<bigint>"))
+    # a row for each text: what is written is the anchors and little else; half of a name is enough beside that of the anchor
+    lists = checkpoint(content.mapInArrow(name, "cls binary, sym array<bigint>, pos array<int>, left array<int>, right array<int>"))
     found = lists.select("cls", F.inline(F.arrays_zip("sym", "pos", "left", "right")))
-    near = met(found, "left", "right").select("cls", "pos", F.explode(F.array_compact(F.array("left", "right"))).alias("sym"))
+    side = lambda c: F.when(F.col(c).isNotNull(), F.xxhash64("sym", c, F.lit(c)))
+    near = met(found, "left", "right").select("cls", "pos", F.explode(F.array_compact(F.array(side("left"), side("right")))).alias("sym"))
     # copies of one text bring the same anchors; they fall together here, where few are left
     return met(near.distinct())
 
