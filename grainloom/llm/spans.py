@@ -33,7 +33,7 @@ ROUNDS = 40
 
 
 def base_symbols(texts: list[str]) -> tuple[np.ndarray, ...]:
-    """Names, starts, ends and dependence intervals of the first row of symbols, and the texts' offsets."""
+    """Names, starts and dependence intervals of the first row of symbols, their texts, the texts' offsets and the sums for span names."""
     points, offsets = arrays.codes(texts)
     n = len(points)
     values = arrays.code_values()[points]
@@ -56,11 +56,13 @@ def base_symbols(texts: list[str]) -> tuple[np.ndarray, ...]:
         ends = np.append(starts[1:], n)
         low = np.where(inner[starts], np.maximum(run_start[starts] - 1, starts - LONGEST - 1), starts - 1)
         high = np.where(inner[starts], np.minimum(run_end[starts] + 1, starts + LONGEST + 2), ends + 1)
-    text = np.searchsorted(offsets, starts, side="right") - 1
+    sizes = np.searchsorted(starts, offsets)  # symbols of each text; starts are in order
+    text = np.repeat(np.arange(len(texts)), np.diff(sizes))
     np.maximum(low, offsets[text], out=low)
     np.minimum(high, offsets[text + 1], out=high)
     sums = arrays.prefix(values)
-    return arrays.span_hash(sums, starts, ends), starts, ends, low, high, text, offsets, sums
+    small = np.int32 if n < 1 << 30 else np.int64
+    return arrays.span_hash(sums, starts, ends), *(x.astype(small) for x in (starts, low, high, text, offsets)), sums
 
 
 def anchors(texts: list[str], min_chars: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -80,34 +82,33 @@ def anchors_with_sides(texts: list[str], min_chars: int) -> tuple[np.ndarray, ..
 
 
 def _anchors(symbols: list[np.ndarray], min_chars: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    names, starts, ends, low, high, text, offsets = symbols
+    names, starts, low, high, text, offsets = symbols
     width = min_chars - LONGEST - 2
-    grid, grid_text = low.copy(), text.copy()  # window g: characters grid[g] .. grid[g] + width
-    inside = grid + width <= offsets[grid_text + 1]
-    grid, grid_text = grid[inside], grid_text[inside]
+    inside = low + width <= offsets[text + 1]
+    grid, grid_text = low[inside], text[inside]  # window g: characters grid[g] .. grid[g] + width
     if not len(grid):
         return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
     made = [(names, starts, low, high, text)]
     for round_ in range(ROUNDS):
         if len(names) < 2:
             break
-        right = (arrays.mix(names ^ np.uint64(0x5851F42D4C957F2D * (round_ + 1) & (1 << 64) - 1)) >> np.uint64(63)).astype(bool)
-        joined = ~right[:-1] & right[1:] & (text[:-1] == text[1:]) & (high[1:] - low[:-1] <= width)
-        pair = np.flatnonzero(joined)  # may be empty: the intervals widen all the same, or anchors would depend on the block
+        right = names * np.uint64(0x5851F42D4C957F2D * (2 * round_ + 1) & (1 << 64) - 1) >> np.uint64(63) > 0
+        beside = text[:-1] == text[1:]
+        ahead, back = beside & ~right[:-1], beside & right[1:]
+        pair = np.flatnonzero(ahead & back & (high[1:] - low[:-1] <= width))  # may be empty: the intervals widen all the same, or anchors would depend on the block
         # what stays single looked at its neighbour on one side
         new_low, new_high = low.copy(), high.copy()
-        look = ~right[:-1] & (text[:-1] == text[1:])
-        new_high[:-1][look] = np.maximum(high[:-1], high[1:])[look]
-        look = right[1:] & (text[:-1] == text[1:])
-        new_low[1:][look] = np.minimum(low[1:], low[:-1])[look]
+        np.maximum(high[:-1], high[1:], out=new_high[:-1], where=ahead)
+        np.minimum(low[1:], low[:-1], out=new_low[1:], where=back)
         new_low[pair], new_high[pair] = np.minimum(low[pair], low[pair + 1]), np.maximum(high[pair], high[pair + 1])
-        ends[pair] = ends[pair + 1]
+        joined = arrays.mix(arrays.mix(names[pair]) + names[pair + 1])
+        made.append((joined, starts[pair], new_low[pair], new_high[pair], text[pair]))
         names = names.copy()
-        names[pair] = arrays.mix(arrays.mix(names[pair]) + names[pair + 1])
+        names[pair] = joined
         keep = np.ones(len(names), dtype=bool)
         keep[pair + 1] = False
-        made.append((names[pair], starts[pair], new_low[pair], new_high[pair], text[pair]))
-        names, starts, ends, low, high, text = (x[keep] for x in (names, starts, ends, new_low, new_high, text))
+        kept = np.flatnonzero(keep)
+        names, starts, low, high, text = (x.take(kept) for x in (names, starts, new_low, new_high, text))
     # from the highest round down: a symbol is an anchor if a window that holds it holds none of a higher round
     out, open_ = [], np.ones(len(grid), dtype=bool)
     for names, starts, low, high, text in reversed(made):
