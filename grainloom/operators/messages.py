@@ -119,8 +119,8 @@ def last_run(ids: Column, run: list[int]) -> Column:
 
 def completion_labels(ids: Column, run: list[int]) -> Column:
     """Labels for training on the completion only: -100 up to and with the template, all of them if it is missing."""
-    start = last_run(ids, run) + len(run)
-    return F.transform(ids, lambda x, i: F.when(start.isNull() | (i < start), F.lit(-100)).otherwise(x))
+    start = F.coalesce(last_run(ids, run) + len(run), F.size(ids))
+    return F.concat(F.array_repeat(F.lit(-100), start), F.slice(ids, start + 1, F.size(ids)))
 
 
 def pad(ids: Column, value: int, multiple: int = 8) -> Column:
