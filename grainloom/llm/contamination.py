@@ -4,7 +4,8 @@ Wu-Manber multi-pattern search over words. Patterns are all runs of ``n_words``
 the test texts. A block is two words; the shift table says for a hashed block how many words the
 window may jump without passing a pattern (a block of no pattern: ``n_words - 1``). Where the shift is
 0, the suffix-hash bucket of the window names the patterns that may stand there, and the words of the
-window are compared with those of the pattern one by one.
+window are compared with those of the pattern: all by their 64-bit names, and the words themselves for
+each pair of document and item until one place holds.
 """
 
 from __future__ import annotations
@@ -29,22 +30,24 @@ class Patterns:
     def __init__(self, items: list[tuple[int, str]], n_words: int):
         self.n = n_words
         texts = [text.casefold() for _, text in items]
-        names, _, _, ranges = arrays.words(texts, arrays.alnum_table())
-        rows, owners = [], []
+        names, starts, ends, ranges = arrays.words(texts, arrays.alnum_table())
+        self.text, self.starts, self.ends = "".join(texts), starts, ends
+        rows, owners, firsts = [], [], []
         for (item, _), a, b in zip(items, ranges[:-1], ranges[1:]):
             if b - a >= n_words:
                 windows = np.lib.stride_tricks.sliding_window_view(names[a:b], n_words)
                 rows.append(windows)
                 owners.append(np.full(len(windows), item, dtype=np.int64))
+                firsts.append(np.arange(a, a + len(windows)))
         self.shift = np.full(1 << SHIFT_BITS, n_words - 1, dtype=np.int32)
         self.windows = np.concatenate(rows) if rows else np.zeros((0, n_words), dtype=np.uint64)
-        self.owners = np.concatenate(owners) if owners else np.zeros(0, dtype=np.int64)
+        self.owners, self.firsts = (np.concatenate(x) if x else np.zeros(0, dtype=np.int64) for x in (owners, firsts))
         for end in range(1, n_words):
             at = self.slots(self.windows[:, end - 1], self.windows[:, end])
             np.minimum.at(self.shift, at, n_words - 1 - end)
         suffix = self.suffix(self.windows[:, -3], self.windows[:, -2], self.windows[:, -1]) if len(self.windows) else np.zeros(0, np.uint64)
         order = np.argsort(suffix, kind="stable")
-        self.windows, self.owners, self.buckets = self.windows[order], self.owners[order], suffix[order]
+        self.windows, self.owners, self.firsts, self.buckets = self.windows[order], self.owners[order], self.firsts[order], suffix[order]
 
     @staticmethod
     def slots(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -54,15 +57,26 @@ class Patterns:
     def suffix(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
         return arrays.mix(arrays.mix(arrays.mix(a) + b) + c)
 
-    def search(self, names: np.ndarray, ranges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs of (text number, item) whose text holds a pattern of the item."""
+    def search(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs of (text number, item) whose text, in folded case, holds a pattern of the item."""
+        names, starts, ends, ranges = arrays.words(texts, arrays.alnum_table())
+        text, item, last, pattern = self.places(names, ranges)
+        whole, pairs = "".join(texts), set()
+        for t, i, w, p in zip(text.tolist(), item.tolist(), last.tolist(), pattern.tolist()):
+            if (t, i) not in pairs and all(whole[starts[w - k] : ends[w - k]] == self.text[self.starts[p - k] : self.ends[p - k]] for k in range(self.n)):
+                pairs.add((t, i))
+        found = np.array(sorted(pairs), dtype=np.int64).reshape(-1, 2)
+        return found[:, 0], found[:, 1]
+
+    def places(self, names: np.ndarray, ranges: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Text number, item, and the last word in the texts and in the patterns, of each place where all names agree."""
         first, last = ranges[:-1], ranges[1:]
         counts = np.maximum(0, -(-(last - first - self.n + 1) // SEGMENT))
         text = np.repeat(np.arange(len(first)), counts)
         nth = np.arange(len(text)) - np.repeat(np.cumsum(counts) - counts, counts)
         at = first[text] + nth * SEGMENT + self.n - 1
         stop = np.minimum(at + SEGMENT, last[text])
-        texts, items = [], []
+        found = []
         while len(at):
             jump = self.shift[self.slots(names[at - 1], names[at])]
             hit = np.flatnonzero(jump == 0)
@@ -75,16 +89,12 @@ class Patterns:
                 pattern = np.arange(len(where)) - np.repeat(np.cumsum(many) - many, many) + low[where]
                 window = names[here[where][:, None] + np.arange(1 - self.n, 1)]
                 same = (window == self.windows[pattern]).all(axis=1)
-                texts.append(text[hit[where[same]]])
-                items.append(self.owners[pattern[same]])
+                found.append((text[hit[where[same]]], self.owners[pattern[same]], here[where[same]], self.firsts[pattern[same]] + self.n - 1))
                 jump[hit] = 1
             at = at + jump
             go = at < stop
             at, stop, text = at[go], stop[go], text[go]
-        if not texts:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        pairs = np.unique(np.stack([np.concatenate(texts), np.concatenate(items)]), axis=1)
-        return pairs[0], pairs[1]
+        return tuple(np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 4
 
 
 def find_leaks(
@@ -119,8 +129,7 @@ def find_leaks(
                 ids = batch.column(0).to_numpy(zero_copy_only=False)
                 texts = batch.column(1).to_pylist()
                 for a, b in arrays.blocks(texts):
-                    names, _, _, ranges = arrays.words([t.casefold() for t in texts[a:b]], arrays.alnum_table())
-                    where, item = table.search(names, ranges)
+                    where, item = table.search([t.casefold() for t in texts[a:b]])
                     if len(where):
                         yield pa.RecordBatch.from_arrays([pa.array(item), pa.array(ids[a:b][where])], ["item_id", "doc_id"])
 
