@@ -61,7 +61,7 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return survivor.surviving_rows(table(spark, sf_dir, "merge_rows"), table(spark, sf_dir, "source_catalog")).select("index", "field", "row_id")
+    return survivor.surviving_rows(table(spark, sf_dir, "merge_rows"), table(spark, sf_dir, "source_catalog"), values=False)
 
 
 def p6_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -188,9 +188,11 @@ def url_values(rows: DataFrame, *, key: str = "index", row_id: str = "row_id", u
     return values.filter("key is not null and row_id is not null and url is not null").select("key", "row_id", value_class(F.col("url")).alias("kind"), "at")
 
 
-def surviving_rows(rows: DataFrame, sources: DataFrame, *, key: str = "index", row_id: str = "row_id", messages: str = "messages", answer: str = "final_answer", url: str = "url", source: str = "source", at: str = "updated_at") -> DataFrame:
+def surviving_rows(rows: DataFrame, sources: DataFrame, *, key: str = "index", row_id: str = "row_id", messages: str = "messages", answer: str = "final_answer", url: str = "url", source: str = "source", at: str = "updated_at", values: bool = True) -> DataFrame:
     """For each key and field the row whose value survives, and the value: ``index, field, row_id, value``.
 
+    Without ``values`` only the row is told, and no text is moved.
+
     Only keys with two or more rows; null keys stand alone and give nothing. ``solution``: the longest
     assistant content without outer white space; ``final_answer``: the value of the most trusted source
     (sources without a rank come last); ``url``: the latest value; where no value of the group has a time,
@@ -205,23 +207,29 @@ def surviving_rows(rows: DataFrame, sources: DataFrame, *, key: str = "index", r
     base = rows.filter(F.col(key).isNotNull() & F.col(row_id).isNotNull()).select(
         F.col(key).alias("key"), F.col(row_id).alias("row_id"), F.col(source).alias("s"), solution["v"].alias("solution"), surviving(F.col(answer)).alias("answer"), surviving(F.col(url)).alias("url"), F.unix_micros(F.col(at).cast("timestamp")).alias("at"),
     )
-    values = url_values(rows, key=key, row_id=row_id, url=url, at=at)
-    undated = values.groupBy("key").agg(F.max("at").alias("at"), F.sort_array(F.collect_set(F.when(F.col("at").isNull(), F.col("kind")))).alias("kinds")).filter("at is null and size(kinds) > 1").select("key", "kinds")
-    levels = undated.join(group_levels(transitions(values), undated), "kinds").select("key", "kind", "level")
+    addresses = url_values(rows, key=key, row_id=row_id, url=url, at=at)
+    undated = addresses.groupBy("key").agg(F.max("at").alias("at"), F.sort_array(F.collect_set(F.when(F.col("at").isNull(), F.col("kind")))).alias("kinds")).filter("at is null and size(kinds) > 1").select("key", "kinds")
+    levels = undated.join(group_levels(transitions(addresses), undated), "kinds").select("key", "kind", "level")
     ranked = base.join(ranks, "s", "left").withColumn("kind", value_class(F.col("url"))).join(levels, ["key", "kind"], "left")
     last = F.lit(2**31 - 1)
 
+    ranked = ranked.withColumn("size", F.length("solution"))
+    kept = ["solution", "answer", "url"]
+    if not values:  # whether there is a value is all that the choice needs
+        ranked = ranked.withColumns({c: F.when(F.col(c).isNotNull(), "") for c in kept})
+
     def best(value: str, *order: Column) -> Column:
         return F.min(F.when(F.col(value).isNotNull(), F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)], F.col("row_id").alias("row_id"), F.col(value).alias("value"))))
 
     chosen = ranked.groupBy("key").agg(
         (F.min("row_id") < F.max("row_id")).alias("several"),
-        best("solution", -F.length("solution")).alias("solution"),
+        best("solution", -F.col("size")).alias("solution"),
         best("answer", F.coalesce("rank", last)).alias("final_answer"),
         best("url", F.col("at").isNull(), -F.col("at"), -F.coalesce("level", F.lit(0))).alias("url"),
     )
     fields = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f"{f}.row_id").alias("row_id"), F.col(f"{f}.value").alias("value")) for f in ("solution", "final_answer", "url")]))
-    return chosen.filter("several").select(F.col("key").alias("index"), fields.alias("x")).filter("x.row_id is not null").select("index", "x.field", "x.row_id", "x.value")
+    found = chosen.filter("several").select(F.col("key").alias("index"), fields.alias("x")).filter("x.row_id is not null").select("index", "x.field", "x.row_id", "x.value")
+    return found if values else found.drop("value")
 
 
 def survivors(rows: DataFrame, sources: DataFrame, **columns: str) -> DataFrame:
