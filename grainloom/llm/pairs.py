@@ -2,7 +2,9 @@
 
 The words of prompt and response are aligned: shingle containment finds answers that may be the
 question again, and the longest common subsequence decides. Refusals are aligned with templates in
-the same way. The language of both sides comes from a classifier trained here on a bounded sample of
+the same way; further templates are learned from the corpus: sentences that recur in answers to different
+questions which work nothing out and share no shingle with their question, and hardly elsewhere; an answer of such
+sentences only declines. The language of both sides comes from a classifier trained here on a bounded sample of
 labelled documents; cut answers are judged by their endings.
 """
 
@@ -14,10 +16,12 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from grainloom.llm.endings import judge, with_endings
+from grainloom.session import checkpoint
 
 #: One defect per pair: the first of these that applies.
 DEFECTS = ("empty", "refusal", "copy", "truncated", "language")
@@ -152,6 +156,39 @@ def is_refusal(question: list[str], answer: str, asked: str = "") -> bool:
     return False
 
 
+_SENTENCE = re.compile(r"[^.!?…。\n]+[.!?…。\n]+")
+
+
+def sentence_names(answer: str, *, least_words: int = 4) -> list[int]:
+    """64-bit names of the whole sentences, without case, formulas and numbers as one word each."""
+    plain = re.sub(r"\d+", "9", _FORMULA.sub(" F ", answer).casefold())
+    words = (_WORD.findall(m[0]) for m in _SENTENCE.finditer(plain + ("\n" if plain.rstrip()[-1:] in ")\"'”»" else "")))
+    return list({xxhash.xxh64_intdigest(" ".join(w)) - (1 << 63) for w in words if len(w) >= least_words})
+
+
+def says_nothing(question: str, answer: str, *, n: int = 5) -> bool:
+    """The answer works nothing out and shares no shingle of n words with its question."""
+    if derives(question, answer):
+        return False
+    asked, said = _WORD.findall(question.casefold()), _WORD.findall(answer.casefold())
+    return len(asked) < n or len(said) < n or not shingles(asked, n) & shingles(said, n)
+
+
+def learned_refusals(read: DataFrame, *, least_answers: int = 3, others: float = 0.05) -> DataFrame:
+    """``row_id, turn`` of answers that say nothing and are made of learned templates only.
+
+    ``read`` has ``row_id, turn, question (a name, or null), quiet, sentences``. A sentence is a template if
+    ``least_answers`` quiet answers, to two questions at least, have it, and of all answers with it at most the share
+    ``others`` is not quiet. Partial counts move, one row for each sentence and task.
+    """
+    each = read.select("quiet", "question", F.explode("sentences").alias("sentence"))
+    asked = F.when(F.col("quiet"), F.col("question"))
+    counts = each.groupBy("sentence").agg(F.count_if("quiet").alias("n"), F.count("*").alias("n_all"), F.min(asked).alias("lo"), F.max(asked).alias("hi"))
+    templates = counts.filter((F.col("n") >= least_answers) & (F.col("lo") < F.col("hi")) & (F.col("n_all") - F.col("n") <= others * F.col("n_all"))).select("sentence")
+    quiet = read.filter("quiet").select("row_id", "turn", "question", F.size("sentences").alias("size"), F.explode("sentences").alias("sentence"))
+    return quiet.join(templates, "sentence").groupBy("row_id", "turn", "question", "size").agg(F.count_distinct("sentence").alias("n")).filter("n = size").select("row_id", "turn")
+
+
 class Languages:
     """Naive Bayes over words, trained on labelled texts."""
 
@@ -215,11 +252,13 @@ def broken_pairs(records: DataFrame, documents: DataFrame, *, row_id: str = "cot
     def classify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         speak = languages.value
         for batch in batches:
-            found = []
+            found, quiet, sentences = [], [], []
             for q, a in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 q = q or ""
                 if is_empty(a):
                     found.append("empty")
+                    quiet.append(False)
+                    sentences.append([])
                     continue
                 asked, body = _WORD.findall(after_heading(q).casefold()), after_heading(a)
                 if is_refusal(asked, body, q):
@@ -228,10 +267,15 @@ def broken_pairs(records: DataFrame, documents: DataFrame, *, row_id: str = "cot
                     found.append("copy")
                 else:
                     found.append("language" if speak.differ(q, body) else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.string())], ["row_id", "turn", "defect"])
+                quiet.append(says_nothing(q, body))
+                sentences.append(sentence_names(body))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(4), pa.array(found, pa.string()), pa.array(quiet), pa.array(sentences, pa.list_(pa.int64()))], ["row_id", "turn", "asked", "defect", "quiet", "sentences"])
 
     kind = pairs.schema["row_id"].dataType.simpleString()
-    read = pairs.mapInArrow(classify, f"row_id {kind}, turn bigint, defect string").filter("defect is not null")
+    named = pairs.select("row_id", "turn", "question", "answer", F.when(F.col("question").rlike(r"\w"), F.xxhash64("question")).alias("asked"))
+    read = checkpoint(named.mapInArrow(classify, f"row_id {kind}, turn bigint, asked bigint, defect string, quiet boolean, sentences array<bigint>").withColumnRenamed("asked", "question"))
+    learned = learned_refusals(read).select("row_id", "turn", F.lit("refusal").alias("defect"))
+    read = read.filter("defect is not null").select("row_id", "turn", "defect").unionByName(learned)
     ended = with_endings(pairs.select("row_id", "turn", F.col("answer").alias("text")).filter(F.col("text").rlike(r"\S")))
     cut = judge(ended).filter("not whole").select("row_id", "turn", F.lit("truncated").alias("defect"))
     rank = F.array_position(F.array(*map(F.lit, DEFECTS)), F.col("defect"))

@@ -53,6 +53,19 @@ def test_answers_that_decline_nothing(answer):
     assert not pairs.is_refusal("is the sum odd".split(), answer)
 
 
+def test_refusals_are_learned(spark):
+    """A sentence in no list, that recurs in answers which say nothing; one that solutions have too; one that one question has."""
+    rows = []
+    for k in range(12):
+        q = f"Find all numbers n such that $n^{k}$ divides the sum of its digits in base {k + 2}."
+        solution = f"The sum of digits is small, so $n<{k}$. Hence $n={k}$ is the only one. Questo non si discute mai oggi. Answer: {k}"
+        answers = {0: "Mi dispiace, purtroppo su questo tema taccio volentieri. Buona fortuna a tutti voi.", 1: "Questo non si discute mai oggi.", 2: solution}
+        rows += [(100 * j + k, [("user", q), ("assistant", a)]) for j, a in answers.items()]
+    rows += [(900 + k, [("user", "What is the least number?"), ("assistant", "Il libro dice tutto quanto.")]) for k in range(5)]
+    got = {r.row_id for r in pairs.broken_pairs(cot(spark, rows), labelled(spark)).filter("defect = 'refusal'").collect()}
+    assert got == set(range(12))
+
+
 def test_copies_of_the_question():
     q = "On a board of 20 rows some cells are marked so that no two of them touch in any row or column of the board . What is the smallest number of marked cells in a row".lower().split()
     assert pairs.is_copy(q, q) and pairs.is_copy(q, q + q) and pairs.is_copy(q, q + ["solution"] + q) and pairs.is_copy(q, q * 3)
