@@ -108,6 +108,7 @@ def page_text(page: str | None, separator: str = "\n") -> str | None:
     for within in (("id", "mw-content-text"), ("class", "mw-parser-output")):
         parser = _Text(within)
         parser.feed(page or "")
+        parser.close()
         if parser.found:
             return re.sub(r"\n{3,}", "\n\n", separator.join(p for p in parser.out if p)).strip()
     return None
@@ -117,6 +118,7 @@ def post_text(post: str | None) -> str:
     """A forum post as text with newlines between its pieces."""
     parser = _Text()
     parser.feed(post or "")
+    parser.close()
     return re.sub(r"\n{3,}", "\n\n", "\n".join(p for p in parser.out if p)).strip()
 
 
@@ -135,6 +137,7 @@ class _Links(HTMLParser):
 def links(page: str | None) -> list[str]:
     parser = _Links()
     parser.feed(page or "")
+    parser.close()
     return parser.found
 
 
@@ -190,6 +193,7 @@ def thread_posts(page: str | None) -> list[str]:
     """The texts of a thread's posts, empty ones too, so that the first stays the first."""
     parser = _Posts()
     parser.feed(page or "")
+    parser.close()
     return [post_text("".join(p)) for p in parser.posts]
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from grainloom.functions import text as T
 from grainloom.operators import dedup, extract, messages as M, quality as Q
 from grainloom.plans import organize as O, stages
-from grainloom.session import table
+from grainloom.session import shared_folder, table
 from grainloom.sources import crawl, jsonl
 from grainloom.streaming import incremental
 
@@ -460,6 +461,50 @@ def completion_mask(spark, d):
     return rows.select("doc_id", F.size("ids").cast("bigint").alias("n"), total.alias("label_sum"), M.trainable_tokens(F.col("labels")).cast("bigint").alias("trainable"))
 
 
+_PIECE_SQL = "regexp_replace({}, '\\n{{3,}}', chr(10) || chr(10), 'g')"
+
+
+@query(f"""with t as (select page_id, {_strip(_PIECE_SQL.format('problem'))} p, list_filter(list_transform(solutions, lambda s: {_strip(_PIECE_SQL.format('s'))}), lambda x: length(x) > 100 and (contains(x, '$') or regexp_matches(lower(x), 'proof|solution'))) ss from scrape_pages)
+select cast(page_id as varchar) url, p problem, len(ss) n, md5(array_to_string(ss, chr(1))) text_md5 from t where p <> '' and len(ss) > 0""")
+def thread_pairs_rebuilt(spark, d):
+    """All scraped pages as thread pages of a forum, and the pairs read back from their markup."""
+    escaped = lambda c: F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    posts = F.array_join(F.transform(F.coalesce("solutions", F.array().cast("array<string>")), lambda s: F.concat(F.lit('<p>by <b>x</b></p><span class="a post_text">'), escaped(s), F.lit("</span>"))), "")
+    page = F.concat(F.lit('<html><div class="cmty-post-body">'), escaped(F.coalesce("problem", F.lit(""))), F.lit("</div>"), posts, F.lit("</html>"))
+    pages = table(spark, d, "scrape_pages").select(F.col("page_id").cast("string").alias("url"), page.alias("page"))
+    return extract.thread_pairs(pages).select("url", "problem", F.size("solutions").cast("bigint").alias("n"), T.md5_text(F.array_join("solutions", "\x01")).alias("text_md5"))
+
+
+_TEX_FILE = r"'x\subsection{P}' || chr(10) || '\begin{problem}' || problem || '\end{problem}' || s || '\newpage more'"
+_BOX = r"(?is)\\begin\{problem\}(.*?)\\end\{problem\}"
+_END = extract.SOLUTION_END.removeprefix("(?i)")
+
+
+@query(f"""with f as (select page_id, generate_subscripts(solutions, 1) - 1 part, problem, unnest(solutions) s from scrape_pages),
+b as (select page_id, part, unnest(string_split(file, '\\subsection{{')) body, generate_subscripts(string_split(file, '\\subsection{{'), 1) - 1 block from (select page_id, part, {_TEX_FILE} file from f)),
+m as (select page_id || '/' || part source, block, regexp_extract(body, '{_BOX}', 1) p, regexp_extract(body, '{_BOX}(.*)$', 2) r from b where block > 0 and regexp_matches(body, '{_BOX}')),
+c as (select source, block, {_tex_sql(_strip('p'))} problem, {_tex_sql(f"regexp_replace(r, '(?is)({_END}).*$', '')")} solution from m)
+select source, block, '{_PREFIX}' || {_strip('problem')} prompt, {_strip('solution')} answer from c where length(problem) >= 40 and length(solution) >= 80""")
+def tex_pairs_rebuilt(spark, d):
+    """All scraped solutions as TeX files with a boxed problem, and the training pairs read back from them."""
+    each = table(spark, d, "scrape_pages").select("page_id", "problem", F.posexplode("solutions").alias("part", "s"))
+    text = F.concat(F.lit("x\\subsection{P}\n\\begin{problem}"), "problem", F.lit("\\end{problem}"), "s", F.lit("\\newpage more"))
+    files = each.select(F.concat_ws("/", F.col("page_id").cast("string"), F.col("part").cast("string")).alias("source"), text.alias("text"))
+    rows = stages.tex_training(files, with_source=True)
+    return rows.select("source", F.col("block").cast("bigint").alias("block"), F.col("messages")[0]["content"].alias("prompt"), F.col("messages")[1]["content"].alias("answer"))
+
+
+@query(f"select rec_id, source, coalesce(len(messages), -1) n, md5(coalesce({_first('user')}, '')) user_md5 from chat_records")
+def jsonl_roundtrip(spark, d):
+    """All records written as JSON Lines to the shared folder and read back through the repair ladder."""
+    path = f"{shared_folder(spark)}/jsonl-{uuid.uuid4().hex}"
+    jsonl.write_jsonl(chat(spark, d).select("rec_id", "source", "messages"), path)
+    rows = jsonl.with_record(jsonl.repair_lines(jsonl.read_lines(spark, path))).filter("parse_error is null")
+    rec_id = F.try_variant_get(F.try_parse_json("raw"), "$.rec_id", "bigint")
+    user = F.coalesce(M.first_content(F.col("messages"), "user"), F.lit(""))
+    return rows.select(rec_id.alias("rec_id"), "source", F.coalesce(F.size("messages"), F.lit(-1)).cast("bigint").alias("n"), T.md5_text(user).alias("user_md5"))
+
+
 @query()
 def json_repair(spark, d):
     """The repair ladder over all raw JSON lines: objects and errors."""

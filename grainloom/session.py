@@ -30,17 +30,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut the lineage through the shared folder of ``spark.checkpoint.dir``.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``, which all executors share.
 
-    The folder is the cluster's; only where none is named and everything runs on one machine a temporary
-    one is set. A cluster without the setting is an error: no folder of one machine serves the others. The
-    written rows outlive a lost executor; ``spark.cleaner.referenceTracking.cleanCheckpoints`` removes them.
+    Only where none is named and everything runs on one machine a temporary one is set. A cluster without
+    the setting is an error: no folder of one machine serves the others.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
-    if not spark.conf.get("spark.checkpoint.dir", None) and context._jsc.sc().getCheckpointDir().isEmpty():
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
+    if context._jsc.sc().getCheckpointDir().isEmpty():
         if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
             raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         context.setCheckpointDir(os.path.join(tempfile.gettempdir(), "grainloom-checkpoints"))
+    return context._jsc.sc().getCheckpointDir().get()
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Cut the lineage through the shared folder.
+
+    The written rows outlive a lost executor; ``spark.cleaner.referenceTracking.cleanCheckpoints`` removes them.
+    """
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
