@@ -198,9 +198,13 @@ def scrape_training_distinct(pages: DataFrame, *, order: str, least: int = 150,
     return kept.withColumn("messages", scraped_pair(F.col("p"), F.col("best"))).drop("best", "p")
 
 
-def contest_label(file_name: Column) -> Column:
-    """``aops_imo_shortlist.jsonl`` as ``IMO_SHORTLIST``."""
-    return F.upper(F.replace(F.regexp_replace(file_name, r"\.[^.]*\z", ""), F.lit("aops_"), F.lit("")))
+#: Fixed value: what the files of one scrape begin with.
+SCRAPE_PREFIX = "aops_"
+
+
+def contest_label(file_name: Column, prefix: str = SCRAPE_PREFIX) -> Column:
+    """The file's stem without the prefix, in capitals."""
+    return F.upper(F.replace(F.regexp_replace(file_name, r"\.[^.]*\z", ""), F.lit(prefix), F.lit("")))
 
 
 def tex_training(files: DataFrame, *, with_source: bool = False) -> DataFrame:
