@@ -475,6 +475,23 @@ def thread_pairs_rebuilt(spark, d):
     return extract.thread_pairs(pages).select("url", "problem", F.size("solutions").cast("bigint").alias("n"), T.md5_text(F.array_join("solutions", "\x01")).alias("text_md5"))
 
 
+_CUT_SQL = "regexp_replace(x, '(?s)(\\nSee [Aa]lso\\b|\\n==).*$', '')"
+
+
+@query(f"""with t as (select page_id, {_strip(_PIECE_SQL.format('problem'))} p, list_filter(list_transform(solutions, lambda s: {_strip(_PIECE_SQL.format('s'))}), lambda x: length(x) > 100) s1 from scrape_pages),
+c as (select page_id, p, list_filter(list_transform(s1, lambda x: {_strip(_CUT_SQL)}), lambda x: length(x) > 100) ss from t)
+select cast(page_id as varchar) url, p problem, len(ss) n, md5(array_to_string(ss, chr(1))) text_md5 from c where p <> '' and len(ss) > 0""")
+def wiki_pairs_rebuilt(spark, d):
+    """All scraped pages as wiki pages, and the pairs read back from their markup and headings."""
+    escaped = lambda c: F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    part = lambda title, c: F.concat(F.lit("<h2>"), title, F.lit("</h2><p>"), escaped(c), F.lit("</p>"))
+    given = F.coalesce("solutions", F.array().cast("array<string>"))
+    solutions = F.array_join(F.transform(given, lambda s, k: part(F.concat(F.lit("Solution "), (k + 1).cast("string")), s)), "")
+    page = F.concat(F.lit('<html><p>no</p><div id="mw-content-text">'), part(F.lit("Problem"), F.coalesce("problem", F.lit(""))), solutions, F.lit("<h2>See also</h2><p>more</p></div></html>"))
+    pages = extract.page_texts(table(spark, d, "scrape_pages").select(F.col("page_id").cast("string").alias("url"), page.alias("html")))
+    return extract.wiki_pairs(pages).select("url", "problem", F.size("solutions").cast("bigint").alias("n"), T.md5_text(F.array_join("solutions", "\x01")).alias("text_md5"))
+
+
 _TEX_FILE = r"'x\subsection{P}' || chr(10) || '\begin{problem}' || problem || '\end{problem}' || s || '\newpage more'"
 _BOX = r"(?is)\\begin\{problem\}(.*?)\\end\{problem\}"
 _END = extract.SOLUTION_END.removeprefix("(?i)")
