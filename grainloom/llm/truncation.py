@@ -58,23 +58,28 @@ def storage_limits(texts: DataFrame, *, reach: int = 25, doubt: float = 0.01) ->
     mean = (near + 1) / (2.0 * reach)
     k, cells = F.col("k"), F.count("*").over(Window.partitionBy("source"))
     peak = (k > mean) & (k * F.log(k / mean) - k + mean >= F.log(cells / F.lit(doubt)))
-    peaks = counts.select("source", "encoding", "n", "k", (peak & (2 * F.col("broken") >= k)).alias("peak")).filter("peak").drop("peak")
+    peaks = checkpoint(counts.select("source", "encoding", "n", "k", (peak & (2 * F.col("broken") >= k)).alias("peak")).filter("peak").drop("peak"))
     voted = at_limits(distinct, peaks).filter("at is not null").groupBy("source", F.col("at.encoding").alias("encoding"), F.col("at.n").alias("n")).agg(F.count("*").alias("n_texts"), F.max("at.k").alias("k"))
     names = F.element_at(F.array(*map(F.lit, ENCODINGS)), F.col("encoding") + 1)
     return voted.filter("2 * n_texts >= k").select("source", names.alias("encoding"), F.col("n").alias("field_limit"), "n_texts", F.col("encoding").alias("code"))
 
 
-def at_limits(texts: DataFrame, limits: DataFrame, *, salts: int = 16) -> DataFrame:
+def at_limits(texts: DataFrame, limits: DataFrame, *, salts: int = 16, most: int = 10_000) -> DataFrame:
     """The texts with ``at``: the limit (``k, first, encoding, n``) of their source that they stand at, of several the one with most texts.
 
-    Limits are few and repeated for each salt, so a source of a third of all texts is spread over tasks.
+    Up to ``most`` limits are broadcast, so no text moves. Of more, each source's are repeated for ``salts`` salts and
+    joined, so that a source of a third of all texts is spread over tasks. ``limits`` is a written table.
     """
     limit = F.struct("k", (-F.col("encoding")).alias("first"), "encoding", "n")
     per_source = limits.groupBy(F.coalesce("source", F.lit("")).alias("s"), F.col("source").isNull().alias("none")).agg(F.collect_list(limit).alias("limits"))
-    per_source = per_source.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    keyed = texts.withColumns({"s": F.coalesce("source", F.lit("")), "none": F.col("source").isNull(), "salt": F.pmod("sample", F.lit(salts)).cast("int")})
+    keyed = texts.withColumns({"s": F.coalesce("source", F.lit("")), "none": F.col("source").isNull()})
+    if limits.count() <= most:
+        joined = keyed.join(F.broadcast(per_source), ["s", "none"], "left")
+    else:
+        salted = per_source.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        joined = keyed.withColumn("salt", F.pmod("sample", F.lit(salts)).cast("int")).join(salted, ["s", "none", "salt"], "left").drop("salt")
     met = F.filter("limits", lambda x: F.get("lengths", x["encoding"]) == x["n"])
-    return keyed.join(per_source, ["s", "none", "salt"], "left").withColumn("at", F.array_max(met)).drop("s", "none", "salt", "limits")
+    return joined.withColumn("at", F.array_max(met)).drop("s", "none", "limits")
 
 
 def cut_contents(records: DataFrame, *, row_id: str = "rec_id", messages: str = "messages", source: str = "source") -> tuple[DataFrame, DataFrame]:

@@ -110,6 +110,14 @@ def test_hidden_limits(spark, encoding):
     assert cut - set(found) == set() and not {i for i in found if i >= 3000 or i < 1000}
 
 
+@pytest.mark.parametrize("most", [100, 0])
+def test_limits_of_a_source_are_looked_up_alike(spark, most):
+    texts = spark.createDataFrame([(i, [None, "a", "b"][i % 3], i, [i, 2 * i]) for i in range(12)], "i int, source string, sample bigint, lengths array<int>")
+    limits = spark.createDataFrame([("a", 0, 4, 9), ("a", 1, 8, 5), (None, 1, 6, 2), ("b", 0, 99, 7)], "source string, encoding int, n int, k int")
+    got = {r.i: (r["at"].encoding, r["at"].n) for r in truncation.at_limits(texts, limits, most=most).collect() if r["at"]}
+    assert got == {4: (0, 4), 3: (1, 6)}
+
+
 def test_ends_are_judged_alike_after_reformatting(spark):
     texts = ["It holds. This proves the claim.", "IT HOLDS; THIS PROVES  THE CLAIM…", "It holds. This proves the claim”"]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
