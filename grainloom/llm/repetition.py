@@ -80,12 +80,12 @@ def repeated_words(names: np.ndarray, ranges: np.ndarray, run: int) -> np.ndarra
     return covered[ranges[1:]] - covered[ranges[:-1]]
 
 
-def measure_repetition(texts: DataFrame, *, keys: tuple[str, ...], text: str = "text", run: int = 6, share: float = 0.35, chunk_words: int = 512, banded_only: bool = False) -> DataFrame:
+def measure_repetition(texts: DataFrame, *, keys: tuple[str, ...], text: str = "text", run: int = 6, share: float = 0.35, chunk_words: int = 512, longest: int = LONGEST, banded_only: bool = False) -> DataFrame:
     """Compression bands and the exact repeated share of each text.
 
     Returns the key columns with ``n_words, n_repeated, repeated_share, ratio, chunk_ratio, band``.
     ``band`` is ``repetitive`` (the whole text or a chunk reaches the limit of its length; every text with
-    a repeated share of ``share`` or more does), ``unsure`` (over LONGEST words, not compressed, its ratios
+    a repeated share of ``share`` or more does), ``unsure`` (over ``longest`` words, not compressed, its ratios
     are null), ``incompressible`` (the ratio stays under 1 in a text of 64 words or more) or ``normal``.
     With ``banded_only`` the exact share is measured in the first two bands only and is null elsewhere,
     where it is below ``share`` for certain. Words are separated by white space, case ignored; a word is
@@ -99,7 +99,7 @@ def measure_repetition(texts: DataFrame, *, keys: tuple[str, ...], text: str = "
     def banded(coded: bytes, n: int) -> tuple[str, float | None, float | None]:
         if not n:
             return "normal", 1.0, 1.0
-        if n > LONGEST:
+        if n > longest:
             return "unsure", None, None
         ratio = chunk = ratio_of(coded)
         repetitive = ratio >= least_ratio(n, share, run)

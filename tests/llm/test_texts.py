@@ -163,6 +163,8 @@ def test_only_bands_are_measured(spark):
     got = {r.id: r for r in repetition.measure_repetition(df, keys=("id",), banded_only=True).collect()}
     assert got[0].band != "repetitive" and got[0].repeated_share is None
     assert got[1].band == "repetitive" and got[1].n_repeated == 250 and got[2].repeated_share == 0
+    long = {r.id: r for r in repetition.measure_repetition(df, keys=("id",), longest=500, banded_only=True).collect()}
+    assert long[1].band == "unsure" and long[1].ratio is None and long[1].n_repeated == 250 and long[0].band == got[0].band
 
 
 def with_share(n, where, rng):
