@@ -9,6 +9,8 @@ expression: ``a`` is fixed, ``(a)?`` optional, ``(a T)+`` repeated, ``(a T)*`` b
 from __future__ import annotations
 
 import json
+import math
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -16,10 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 Block = tuple[tuple[str, ...], bool, int]
-#: A longer wrapper is generalised: its rarest blocks become part of the text slots around them.
+#: Where ``align`` is asked for it, a longer wrapper is generalised: its rarest blocks become part of the text slots around them.
 LONGEST = 256
-#: Streams whose alignment would need more steps are aligned greedily.
-DEAREST = 1 << 18
 #: Mark of tokens that are markup only where a wrapper says so.
 OPEN = "?"
 #: Open tokens that begin a line, and so make a list where they repeat.
@@ -62,42 +62,80 @@ def expression(wrapper: list[Block], n_texts: int) -> str:
     return " ".join(out)
 
 
-def walk(wrapper: list[Block], blocks: list) -> list[int]:
-    """The place of each block in the wrapper, in order and as early as possible; -1 where it has none."""
+def places_of(wrapper: list[Block]) -> dict[tuple[str, ...], list[int]]:
+    """The places of each block in the wrapper, in order."""
+    out: dict[tuple[str, ...], list[int]] = {}
+    for k, block in enumerate(wrapper):
+        out.setdefault(block[0], []).append(k)
+    return out
+
+
+def walk(found: dict[tuple[str, ...], list[int]], blocks: list) -> list[int]:
+    """The place of each block in a wrapper with these places, in order and as early as possible; -1 where it has none."""
     places, at = [], 0
     for block in blocks:
-        place = next((k for k in range(at, len(wrapper)) if wrapper[k][0] == block[0]), -1)
-        places.append(place)
-        at = place + 1 if place >= 0 else at
+        own = found.get(block[0], ())
+        n = bisect_left(own, at)
+        places.append(own[n] if n < len(own) else -1)
+        at = places[-1] + 1 if n < len(own) else at
     return places
 
 
 def aligned(a: list[Block], b: list[Block]) -> list[tuple[int, int]]:
-    """Pairs of equal blocks on a longest common subsequence."""
-    if len(a) * len(b) > DEAREST:
-        return [(p, j) for j, p in enumerate(walk(a, b)) if p >= 0]
-    names = {t: i for i, t in enumerate({x[0] for x in a} | {x[0] for x in b})}
-    x, y = [names[t[0]] for t in a], [names[t[0]] for t in b]
-    best = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
-    for i in range(len(x) - 1, -1, -1):
-        row, below, own = best[i], best[i + 1], x[i]
-        for j in range(len(y) - 1, -1, -1):
-            row[j] = 1 + below[j + 1] if own == y[j] else max(below[j], row[j + 1])
-    out, i, j = [], 0, 0
-    while i < len(x) and j < len(y):
-        if x[i] == y[j]:
-            out.append((i, j))
-            i, j = i + 1, j + 1
-        elif best[i + 1][j] >= best[i][j + 1]:
-            i += 1
-        else:
-            j += 1
+    """Pairs of equal blocks on a longest common subsequence, whatever the lengths.
+
+    The table of lengths has a column for each block of ``b``, an integer with a bit for each place of ``a`` whose block
+    ``b`` has, the last place lowest; the bit is 0 where that place makes the subsequence longer. Columns are kept at
+    the ends of root of ``b`` stretches and made again for one stretch at a time, so memory grows as the places times
+    that root, not as the table.
+    """
+    asked = {t[0] for t in b}
+    places = [i for i in range(len(a) - 1, -1, -1) if a[i][0] in asked]
+    bits_of: dict[tuple[str, ...], list[int]] = {}
+    for k, i in enumerate(places):
+        bits_of.setdefault(a[i][0], []).append(k)
+    full, width, step = (1 << len(places)) - 1, len(places) // 8 + 1, math.isqrt(len(b)) + 1
+
+    def mask(name: tuple[str, ...]) -> int:
+        bits = bytearray(width)
+        for k in bits_of.get(name, ()):
+            bits[k >> 3] |= 1 << (k & 7)
+        return int.from_bytes(bits, "little")
+
+    # no more than root of the places are so frequent; masks of all would be as large as the table
+    frequent = {name: mask(name) for name, own in bits_of.items() if len(own) ** 2 > len(places)}
+
+    def before(column: int, name: tuple[str, ...]) -> int:
+        here = column & (frequent[name] if name in frequent else mask(name))
+        return (column + here | column ^ here) & full
+
+    ends, column = {}, full
+    for j in range(len(b) - 1, -1, -1):
+        if j == len(b) - 1 or j % step == step - 1:
+            ends[j // step] = column
+        column = before(column, b[j][0])
+    out, k = [], len(places) - 1
+    for stretch in range(len(ends)):
+        column, columns = ends.pop(stretch), []
+        blocks = range(stretch * step, min((stretch + 1) * step, len(b)))
+        for j in reversed(blocks):
+            column = before(column, b[j][0])
+            columns.append(column.to_bytes(width, "little"))
+        for j in blocks:
+            bits = columns.pop()
+            while k >= 0 and a[places[k]][0] != b[j][0] and bits[k >> 3] >> (k & 7) & 1:
+                k -= 1
+            if k < 0:
+                return out
+            if a[places[k]][0] == b[j][0]:
+                out.append((places[k], j))
+                k -= 1
     return out
 
 
-def align(a: list[Block], b: list[Block]) -> list[Block]:
-    """The wrapper of both: equal blocks add their texts, the others stay as optional ones."""
-    places = walk(a, b)
+def align(a: list[Block], b: list[Block], *, longest: int | None = LONGEST) -> list[Block]:
+    """The wrapper of both: equal blocks add their texts, the others stay as optional ones; whole if ``longest`` is None."""
+    places = walk(places_of(a), b)
     pairs = [(p, j) for j, p in enumerate(places)] if all(p >= 0 for p in places) else aligned(a, b)
     out: list[Block] = []
     i = j = 0
@@ -107,20 +145,22 @@ def align(a: list[Block], b: list[Block]) -> list[Block]:
         if p < len(a):
             out.append((a[p][0], a[p][1] or b[q][1], a[p][2] + b[q][2]))
         i, j = p + 1, q + 1
-    if len(out) > LONGEST:
-        kept = sorted(sorted(range(len(out)), key=lambda k: (-out[k][2], k))[:LONGEST])
+    if longest is not None and len(out) > longest:
+        kept = sorted(sorted(range(len(out)), key=lambda k: (-out[k][2], k))[:longest])
         out = [out[k] for k in kept]
     return out
 
 
-def accepted(wrapper: list[Block], n_texts: int, blocks: list) -> tuple[list[str], list[str]]:
+def accepted(wrapper: list[Block], n_texts: int, blocks: list, found: tuple[dict, dict] | None = None) -> tuple[list[str], list[str]]:
     """Kinds of markup in a stream, and its open tokens that are markup.
 
     An open token is markup where it is an item that repeats, or where half of the texts have it at the
-    same place of the wrapper; all others are markup wherever they stand.
+    same place of the wrapper; all others are markup wherever they stand. ``found`` are the places of the
+    wrapper's blocks from its start and from its end, if they are known.
     """
-    ahead = walk(wrapper, blocks)
-    back = [len(wrapper) - 1 - p if p >= 0 else -1 for p in walk(wrapper[::-1], blocks[::-1])][::-1]
+    first, last = found or (places_of(wrapper), places_of(wrapper[::-1]))
+    ahead = walk(first, blocks)
+    back = [len(wrapper) - 1 - p if p >= 0 else -1 for p in walk(last, blocks[::-1])][::-1]
     kinds, names = set(), set()
     for (tokens, *_), *places in zip(blocks, ahead, back):
         fixed = any(p >= 0 and 2 * wrapper[p][2] >= n_texts for p in places)
@@ -152,7 +192,7 @@ def merged(parts: DataFrame) -> DataFrame:
                         yield row()
                     here, wrapper, total = key, [], 0
                 other = load(blocks, n)
-                wrapper = align(wrapper, other) if total else other[:]
+                wrapper = align(wrapper, other, longest=None) if total else other[:]
                 total += n
         if here is not None:
             yield row()

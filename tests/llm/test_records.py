@@ -236,6 +236,45 @@ def test_wrapper_decides_what_is_markup(spark, fan_in, monkeypatch):
     assert "?html:<answer" in shop and "?markdown:1." in shop
 
 
+def test_long_streams_are_aligned_as_short_ones():
+    """A longest common subsequence at any length, with the pairs that the whole table of lengths gives."""
+
+    def by_table(a, b):
+        best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i in range(len(a) - 1, -1, -1):
+            for j in range(len(b) - 1, -1, -1):
+                best[i][j] = 1 + best[i + 1][j + 1] if a[i][0] == b[j][0] else max(best[i + 1][j], best[i][j + 1])
+        out, i, j = [], 0, 0
+        while i < len(a) and j < len(b):
+            if a[i][0] == b[j][0]:
+                out.append((i, j))
+            here = a[i][0] == b[j][0]
+            i, j = i + (here or best[i + 1][j] >= best[i][j + 1]), j + (here or best[i + 1][j] < best[i][j + 1])
+        return out
+
+    rng = np.random.default_rng(5)
+    for most, kinds in [(9, 2)] * 300 + [(40, 6)] * 100 + [(700, 30)] * 2:
+        a, b = ([((f"t{k}",), False, 1) for k in rng.integers(kinds, size=rng.integers(most // 2, most))] for _ in "ab")
+        assert wrappers.aligned(a, b) == by_table(a, b)
+    tags = [((f"?html:<t{k}",), False, 1) for k in range(600)]
+    late = [(("?html:<z",), False, 1)]
+    assert wrappers.aligned(tags + late, late + tags) == [(k, k + 1) for k in range(600)]
+    assert [x[2] for x in wrappers.align(tags + late, late + tags, longest=None)] == [1, *[2] * 600, 1]
+    assert wrappers.aligned(tags, []) == wrappers.aligned([], tags) == wrappers.aligned(tags, late) == []
+
+
+def test_long_texts_have_whole_wrappers(spark):
+    """600 unknown tags that all texts of a host have are markup, though one more stands before or behind them; that one is so where most have it."""
+    body = " ".join(f"<t{k}>{k}" for k in range(600))
+    df = spark.createDataFrame([(1, "h", f"<zz>0 {body}"), (2, "h", f"{body} <zz>0"), (3, "h", f"{body} 1 <zz>0")], "id int, host string, text string")
+    plain = " ".join(map(str, range(600)))
+    assert {r.id: r.text for r in markup.clean_texts(df, keys=("id",)).collect()} == {1: f"<zz>0 {plain}", 2: f"{plain} 0", 3: f"{plain} 1 0"}
+    kinds, found = markup.markup_kinds(df, keys=("id",))
+    assert {r.id: r.kinds for r in kinds.collect()} == {1: ["html"], 2: ["html"], 3: ["html"]}
+    fixed = {tuple(tokens) for r in found.collect() for tokens, _, n in wrappers.load(r.blocks) if n == r.n_texts == 3}
+    assert {(f"?html:<t{k}",) for k in range(600)} <= fixed
+
+
 def test_clean_keeps_structure(spark):
     assert markup.clean("<h2>Proof</h2><p>It is $a<b$ &amp; so.</p><ul><li>One</li><li>Two</li></ul>") == "## Proof\nIt is $a<b$ & so.\n\n- One\n- Two"
     assert markup.clean("== Proof ==\n'''It''' uses [[Parity 1|parity]].") == "# Proof\n\nIt uses parity."
